@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 #: Letters that have no decomposition.
 SPECIAL = str.maketrans({"ø": "o", "ß": "ss", "ł": "l", "æ": "ae", "œ": "oe", "đ": "d", "ð": "d", "þ": "th", "ı": "i"})
 #: Legal forms and articles, kinds of organisation, Roman numerals of vehicles, chemical short forms.
-LEGAL = frozenset("the inc llc ltd corp co company pbc holdings holding lp llp plc gmbh limited incorporated corporation group".split())
+LEGAL = frozenset("the inc llc ltd corp co company pbc holdings holding lp llp plc gmbh limited incorporated corporation group us usa uk".split())
 KINDS = ("manufacturing", "industries", "technologies", "solutions", "systems", "laboratories", "international", "services", "partners", "ventures")
 NUMERALS = {"i": 1, "ii": 2, "iii": 3, "iv": 4, "v": 5, "vi": 6, "vii": 7, "viii": 8, "ix": 9, "x": 10}
 SYNONYMS = {"h2": "hydrogen", "h2o": "water"}
