@@ -12,7 +12,7 @@ def host(c: str) -> Column:
     """Host of an address or bare domain, lower-case, without www. and app.; NULL for a placeholder or a host without a dot."""
     bare = F.regexp_replace(F.lower(F.trim(c)), r"^[a-z]+://", "")
     bare = F.regexp_replace(F.regexp_extract(bare, r"^([^/?#:\s]*)", 1), r"^(www\.|app\.)+", "")
-    return F.when(present_text(c) & bare.contains("."), F.rtrim(F.lit("."), bare))
+    return F.when(present_text(c) & bare.contains("."), F.rtrim(bare, F.lit(".")))
 
 
 def first_path(c: str) -> Column:
