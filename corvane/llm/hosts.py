@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corvane.llm.nameforms import KINDS, LEGAL
 from corvane.llm.survivor import present_text
 
 
@@ -27,9 +28,13 @@ def own_host(c: str, shared: list[str]) -> Column:
     return F.when(~h.isin(shared), h) if shared else h
 
 
-def shared_hosts(df, c: str, by: str, share: float = 0.002, least: int = 12) -> list[str]:
-    """Hosts that go with at least ``share`` of all different values of ``by`` (and ``least``): at most 1 / ``share`` of
-    them if a value has one host."""
-    n = df.select(by).distinct().count()
-    seen = df.select(host(c).alias("h"), by).where("h is not null").distinct()
-    return sorted(r.h for r in seen.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= max(least, share * n)).collect())
+def shared_hosts(df, c: str, name: str, share: float = 0.0002, least: int = 5, common: float = 0.5) -> list[str]:
+    """Hosts shared by unrelated companies: at least ``share`` of all different names (and ``least``) are on the host, and no
+    word but legal forms and kinds of organisation is in ``common`` of them. At most 1 / ``share`` hosts if a name has one."""
+    n = df.select(name).distinct().count()
+    seen = df.select(host(c).alias("h"), F.lower(name).alias("n")).where("h is not null and n is not null").distinct()
+    sizes = seen.groupBy("h").agg(F.count("*").alias("size")).where(F.col("size") >= max(least, share * n))
+    words = seen.join(sizes, "h", "left_semi").select("h", "n", F.explode(F.array_distinct(F.split("n", r"[^\p{L}\p{N}]+"))).alias("w"))
+    words = words.where((F.length("w") > 2) & ~F.col("w").isin(sorted(LEGAL | set(KINDS))))
+    top = words.groupBy("h", "w").agg(F.count("*").alias("k")).groupBy("h").agg(F.max("k").alias("k"))
+    return sorted(r.h for r in sizes.join(top, "h", "left").where(F.coalesce("k", F.lit(0)) < common * F.col("size")).select("h").collect())
