@@ -31,26 +31,30 @@ def lcs_length(a: Column, b: Column) -> Column:
     return F.coalesce(F.array_max(last), F.lit(0))
 
 
-@F.pandas_udf("double")
-def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """200 LCS / (length a + length b); 0 for two empty texts. The LCS is found with bit rows, a word a character."""
-
-    def ratio(x: str | None, y: str | None) -> float | None:
-        if x is None or y is None:
-            return None
-        if not x and not y:
-            return 0.0
-        masks: dict[str, int] = {}
-        for i, ch in enumerate(x):
-            masks[ch] = masks.get(ch, 0) | 1 << i
-        full = (1 << len(x)) - 1
-        s = full
-        for ch in y:
-            u = s & masks.get(ch, 0)
-            s = ((s + u) | (s - u)) & full
-        return 200.0 * (len(x) - s.bit_count()) / (len(x) + len(y))
-
-    return pd.Series([ratio(x, y) for x, y in zip(a, b)])
+def indel_ratio(a: Column | str, b: Column | str) -> Column:
+    """200 LCS / (length a + length b); 0 for two empty texts. The LCS is found with bit rows, a bit a character."""
+
+    @F.pandas_udf("double")
+    def ratios(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([_indel(x, y) for x, y in zip(a, b)], dtype="float64")
+
+    return ratios(a, b)
+
+
+def _indel(x: str | None, y: str | None) -> float | None:
+    if x is None or y is None:
+        return None
+    if not x and not y:
+        return 0.0
+    masks: dict[str, int] = {}
+    for i, ch in enumerate(x):
+        masks[ch] = masks.get(ch, 0) | 1 << i
+    full = (1 << len(x)) - 1
+    s = full
+    for ch in y:
+        u = s & masks.get(ch, 0)
+        s = ((s + u) | (s - u)) & full
+    return 200.0 * (len(x) - s.bit_count()) / (len(x) + len(y))
 
 
 def may_reach(a: Column, b: Column, threshold: float) -> Column:
@@ -59,7 +63,11 @@ def may_reach(a: Column, b: Column, threshold: float) -> Column:
     return (200 * F.least(F.length(a), F.length(b)) >= threshold * total) & (F.levenshtein(a, b) <= (1 - threshold / 100) * total)
 
 
-@F.pandas_udf("double")
-def gestalt_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+def gestalt_ratio(a: Column | str, b: Column | str) -> Column:
     """Ratcliff-Obershelp ratio of two texts."""
-    return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
+
+    @F.pandas_udf("double")
+    def ratios(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
+
+    return ratios(a, b)

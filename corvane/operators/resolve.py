@@ -17,8 +17,8 @@ from corvane.scratch import Scratch
 
 def star_edges(df: DataFrame, key: str, row: str) -> DataFrame:
     """(a, b): every row of a key with the smallest row of it; n - 1 edges for n rows."""
-    low = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(row).alias("a"))
-    return df.join(low, key).where(F.col("a") != F.col(row)).select("a", F.col(row).alias("b"))
+    low = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(row).alias("__a"))
+    return df.select(key, row).join(low, key).where(F.col("__a") != F.col(row)).select(F.col("__a").alias("a"), F.col(row).alias("b"))
 
 
 def blocks(name: Column) -> Column:
@@ -32,7 +32,7 @@ def similar_names(df: DataFrame, name: str, sources: str, row: str, threshold: f
     """(a, b) between representatives of equal (name, sources), plus every row with its representative where that one is
     linked: as linked as comparing all rows, without comparing copies."""
     df = df.where(F.coalesce(F.col(name) != "", F.lit(False))).withColumn("__s", F.array_sort(F.array_distinct(F.coalesce(F.col(sources), F.array().cast("array<string>")))))
-    groups = df.groupBy(name, "__s").agg(F.min(row).alias("g"), F.count("*").alias("n"))
+    groups = df.groupBy(name, "__s").agg(F.min(row).alias("g"), F.count("*").alias("__n"))
     groups = scratch.keep(groups.withColumn("t", sorted_tokens(F.col(name))))
     keyed = groups.select("g", F.explode(blocks(F.col(name))).alias("k"))
     pairs = keyed.join(keyed.withColumnRenamed("g", "h"), "k").where("g < h").select("g", "h").distinct()
@@ -40,7 +40,7 @@ def similar_names(df: DataFrame, name: str, sources: str, row: str, threshold: f
     right = groups.select(F.col("g").alias("h"), F.col("t").alias("t2"), F.col("__s").alias("s2"))
     near = pairs.join(left, "g").join(right, "h").where(~F.coalesce(F.arrays_overlap("s1", "s2"), F.lit(False)) & may_reach(F.col("t1"), F.col("t2"), threshold))
     near = scratch.keep(near.where(indel_ratio("t1", "t2") >= threshold).select(F.col("g").alias("a"), F.col("h").alias("b")))
-    loose = groups.where((F.size("__s") == 0) & (F.col("n") > 1)).select("g")
+    loose = groups.where((F.size("__s") == 0) & (F.col("__n") > 1)).select("g")
     linked = near.select(F.col("a").alias("g")).union(near.select("b")).union(loose).distinct()
     copies = df.join(groups.join(linked, "g", "left_semi").select(name, "__s", "g"), [name, "__s"]).where(F.col("g") != F.col(row))
     return near.union(copies.select("g", row))
@@ -57,13 +57,14 @@ def resolve(df: DataFrame, *, row: str, name: str, domain: str, sources: str, or
     by_domain = scratch.keep(star_edges(df, domain, row))
     by_name = similar_names(df, name, sources, row, threshold, scratch)
     links = scratch.keep(by_domain.union(by_name))
-    groups = scratch.keep(components(links, "a", "b"))
-    at_domain = by_domain.select(F.col("a").alias("id")).join(groups, "id").select("component").distinct().withColumn("at", F.lit(True))
-    members = df.join(groups, F.col(row) == F.col("id")).select("component", row, "__o")
-    first = members.groupBy("component").agg(F.min("__o").alias("m")).select("component", F.col(f"m.{row}").alias("canonical"))
-    info = first.join(at_domain, "component", "left")
-    placed = groups.join(info, "component").select("id", "canonical", F.when(F.col("at"), "domain").otherwise("fuzzy_name").alias("match_type"))
-    return df.join(placed, F.col(row) == F.col("id"), "left").select(row, F.coalesce("canonical", row).alias("canonical"), F.coalesce((F.col("canonical") != F.col(row)).cast("int"), F.lit(0)).alias("is_duplicate"), "match_type")
+    groups = scratch.keep(components(links, "a", "b").select(F.col("id").alias("__id"), F.col("component").alias("__component")))
+    at_domain = by_domain.select(F.col("a").alias("__id")).join(groups, "__id").select("__component").distinct().withColumn("__at", F.lit(True))
+    members = df.join(groups, F.col(row) == F.col("__id")).select("__component", "__o")
+    first = members.groupBy("__component").agg(F.min("__o").alias("m")).select("__component", F.col(f"m.{row}").alias("__canonical"))
+    info = first.join(at_domain, "__component", "left")
+    placed = groups.join(info, "__component").select("__id", "__canonical", F.when(F.col("__at"), "domain").otherwise("fuzzy_name").alias("__type"))
+    out = df.select(row).join(placed, F.col(row) == F.col("__id"), "left")
+    return out.select(row, F.coalesce("__canonical", row).alias("canonical"), F.coalesce((F.col("__canonical") != F.col(row)).cast("int"), F.lit(0)).alias("is_duplicate"), F.col("__type").alias("match_type"))
 
 
 def merged_sources(df: DataFrame, resolved: DataFrame, row: str, sources: str) -> DataFrame:
