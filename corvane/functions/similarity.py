@@ -24,7 +24,7 @@ def lcs_length(a: Column, b: Column) -> Column:
         return F.aggregate(
             cells,
             F.slice(row, F.lit(1), F.lit(0)),
-            lambda done, cell: F.concat(done, F.array(F.when(cell["ch"] == x, cell["diag"] + 1).otherwise(F.greatest(cell["up"], F.coalesce(F.try_element_at(done, F.size(done)), F.lit(0)))))),
+            lambda done, cell: F.concat(done, F.array(F.when(cell["ch"] == x, cell["diag"] + 1).otherwise(F.greatest(cell["up"], F.coalesce(F.get(done, F.size(done) - 1), F.lit(0)))))),
         )
 
     last = F.aggregate(F.filter(F.split(a, ""), lambda x: x != ""), zero, step)

@@ -27,10 +27,8 @@ def call_model(df: DataFrame, row_id: str, variables: list[str], prompt: str, pr
     rows = within_budget(df.select(row_id, *variables, text.alias("__t")), order or [F.col(row_id)], budget)
     rows = rows.repartition(parallel) if parallel else rows
     kind = df.schema[row_id].dataType.simpleString()
-    shared = df.sparkSession.sparkContext.broadcast((prompt, provider))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        prompt, provider = shared.value
         for batch in batches:
             out = []
             for r in batch.to_dict("records"):

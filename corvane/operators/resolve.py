@@ -53,14 +53,14 @@ def resolve(df: DataFrame, *, row: str, name: str, domain: str, sources: str, or
     the component is, else 'fuzzy_name'; NULL for a row of its own. ``order`` and ``row`` decide all ties.
     """
     scratch = Scratch(df.sparkSession)
-    df = scratch.keep(df.withColumn("__o", F.struct(*order, F.col(row))))
+    df = scratch.keep(df.withColumn("__o", F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.col(row).alias("row"))))
     by_domain = scratch.keep(star_edges(df, domain, row))
     by_name = similar_names(df, name, sources, row, threshold, scratch)
     links = scratch.keep(by_domain.union(by_name))
     groups = scratch.keep(components(links, "a", "b").select(F.col("id").alias("__id"), F.col("component").alias("__component")))
     at_domain = by_domain.select(F.col("a").alias("__id")).join(groups, "__id").select("__component").distinct().withColumn("__at", F.lit(True))
     members = df.join(groups, F.col(row) == F.col("__id")).select("__component", "__o")
-    first = members.groupBy("__component").agg(F.min("__o").alias("m")).select("__component", F.col(f"m.{row}").alias("__canonical"))
+    first = members.groupBy("__component").agg(F.min("__o").alias("m")).select("__component", F.col("m.row").alias("__canonical"))
     info = first.join(at_domain, "__component", "left")
     placed = groups.join(info, "__component").select("__id", "__canonical", F.when(F.col("__at"), "domain").otherwise("fuzzy_name").alias("__type"))
     out = df.select(row).join(placed, F.col(row) == F.col("__id"), "left")
