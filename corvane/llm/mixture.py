@@ -3,7 +3,7 @@
 Every document gets a key from a hash of its id. Within a source, documents are ordered by that key: first into
 ranges of the key, whose token sums give a distributed prefix sum, then inside a range. A source whose budget is
 larger than its tokens is repeated whole, up to its cap, and the last epoch is cut where the prefix sum reaches the
-budget. A source of any size is spread over ``ranges`` ranges, so no task holds a source.
+budget. There is a range for every 50,000 documents, so no task holds a source.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ def count_tokens(docs: DataFrame, text: str, path: str, pattern: str) -> DataFra
     return docs.mapInPandas(run, schema)
 
 
-def mix_sources(docs: DataFrame, targets: DataFrame, *, total_tokens: int | None = None, ranges: int = 256, seed: int = 17) -> tuple[DataFrame, DataFrame]:
+def mix_sources(docs: DataFrame, targets: DataFrame, *, total_tokens: int | None = None, ranges: int | None = None, seed: int = 17) -> tuple[DataFrame, DataFrame]:
     """The mixture and its report from ``docs(doc_id, source, n_tokens)`` and ``targets(source, target_share,
     max_repeats)``.
 
@@ -59,8 +59,12 @@ def mix_sources(docs: DataFrame, targets: DataFrame, *, total_tokens: int | None
     want = want.where(F.col("source").isNotNull())
     key = F.xxhash64(F.lit(seed), F.col("doc_id"))
     have = docs.where(F.col("n_tokens") > 0).join(F.broadcast(want.select("source")) if want.count() <= 10_000 else want.select("source"), "source", "left_semi")
-    have = have.select("source", "doc_id", F.col("n_tokens").cast("long").alias("n_tokens"), key.alias("key"), F.pmod(F.shiftright(key, 40), F.lit(ranges)).alias("span"))
+    have = have.select("source", "doc_id", F.col("n_tokens").cast("long").alias("n_tokens"), key.alias("key"))
     have = scratch.keep(have)
+    if ranges is None:
+        ranges = max(64, have.count() // 50_000)
+    #: Ranges of equal width over the key, as the key is uniform.
+    have = have.withColumn("span", F.floor((F.shiftright("key", 32) + F.lit(2**31)) * F.lit(ranges) / F.lit(2**32)).cast("int"))
     spans = have.groupBy("source", "span").agg(F.sum("n_tokens").alias("span_tokens"))
     before = Window.partitionBy("source").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
     spans = scratch.keep(spans.withColumn("base", F.coalesce(F.sum("span_tokens").over(before), F.lit(0))))

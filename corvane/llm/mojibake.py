@@ -252,6 +252,17 @@ def _recoded(path: str) -> bool:
     return ">" in path
 
 
+def _chunks(passage: str, most: int = 2000) -> list[str]:
+    """A passage in parts of at most ``most`` characters, cut at blanks where there are some: the whole passage is searched,
+    part by part."""
+    parts = []
+    while len(passage) > most:
+        at = passage.rfind(" ", most // 2, most) + 1 or most
+        parts.append(passage[:at])
+        passage = passage[at:]
+    return [*parts, passage]
+
+
 class Restorer:
     """Searches passages and remembers them, up to ``memory`` of them."""
 
@@ -304,6 +315,7 @@ class Restorer:
             spans += [(text[at : m.start()], True), (m.group(), False)]
             at = m.end()
         spans.append((text[at:], True))
+        spans = [(part, is_passage) for span, is_passage in spans for part in (_chunks(span) if is_passage else [span])]
         out, paths, n, left = [], [], 0, False
         for span, is_passage in spans:
             if is_passage and not (span.isascii() and "&" not in span):

@@ -140,9 +140,10 @@ def _founder_pairs(spark: SparkSession, folder: str) -> DataFrame:
     alone = met.groupBy("a").agg(F.min("b").alias("b"), F.count("*").alias("n")).where("n = 1").select("a", "b")
     # at one company, two or three slips, also under an initial
     placed = parsed.select("company_id", "node", "own", "class", "initial", F.substring("own", 1, 1).alias("first")).where("initial <> ''").distinct()
-    placed = placed.withColumn("kind", F.coalesce(F.nullif("class", F.lit("")), F.lit("?")))
-    other = placed.select("company_id", "first", F.col("node").alias("b"), F.col("own").alias("own_b"), F.col("kind").alias("kind_b"), F.col("initial").alias("initial_b"))
-    near = placed.join(other, ["company_id", "first"]).where((F.col("node") < F.col("b")) & ((F.col("kind") == F.col("kind_b")) | ((F.col("initial") == F.col("initial_b")) & ((F.col("kind") == "?") | (F.col("kind_b") == "?")))))
+    other = placed.select("company_id", "first", "class", "initial", F.col("node").alias("b"), F.col("own").alias("own_b"))
+    known, bare = placed.where("class <> ''"), placed.where("class = ''")
+    near = known.join(other, ["company_id", "first", "class"]).where("node < b").select("node", "b", "own", "own_b")
+    near = near.unionByName(bare.join(other.drop("class"), ["company_id", "first", "initial"]).where("node <> b").select("node", "b", "own", "own_b"))
     near = near.where(F.levenshtein("own", "own_b", 5) >= 0)
     near = verify(near.select(F.col("node").alias("a"), "b", F.col("own").alias("own_a"), "own_b", F.col("own").alias("words_a"), F.col("own_b").alias("words_b"), F.lit(True).alias("supported")), 0.6)
     links = scratch.keep(checked.unionByName(together).unionByName(alone).unionByName(near).distinct())
