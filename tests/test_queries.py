@@ -12,8 +12,9 @@ import corvane.plans.quality as quality
 import corvane.plans.relations_sql as relations_sql
 import corvane.plans.scans_sql as scans_sql
 import corvane.plans.snapshots as snapshots
+import corvane.plans.stages_sql as stages_sql
 
-MODULES = (snapshots, quality, functions_sql, relations_sql, scans_sql)
+MODULES = (snapshots, quality, functions_sql, relations_sql, scans_sql, stages_sql)
 ALL = [(k, m) for m in MODULES for k in m.QUERIES]
 
 
