@@ -27,13 +27,15 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables written during one operator; ``drop`` frees those that are superseded."""
+    """Tables written during one operator; ``drop`` frees those that are superseded, the rest go when the driver ends."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{scratch_dir(spark)}/corvane-{uuid.uuid4().hex}"
         self.count = 0
         self.paths: dict[int, str] = {}
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
 
     def keep(self, df: DataFrame) -> DataFrame:
         """Write ``df`` once and return the written table, which has no lineage."""

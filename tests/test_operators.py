@@ -65,7 +65,7 @@ def test_latest_and_best(spark):
 
 
 def test_resolve_is_idempotent_and_order_free(spark):
-    rows = [("a", "mcatalysis", "m.example", ["s1"], 0), ("b", "mcatalysis", None, ["s2"], 1), ("c", "mcatalysiss", None, ["s3"], 2), ("d", "other thing", "m.example", ["s1"], 3), ("e", "fund one", None, ["s9"], 4), ("f", "fund one", None, ["s9"], 5), ("g", None, None, None, 6)]
+    rows = [("a", "zoncatall", "m.example", ["s1"], 0), ("b", "zoncatall", None, ["s2"], 1), ("c", "zoncatalls", None, ["s3"], 2), ("d", "other thing", "m.example", ["s1"], 3), ("e", "fund one", None, ["s9"], 4), ("f", "fund one", None, ["s9"], 5), ("g", None, None, None, 6)]
     schema = "id string, name string, dom string, src array<string>, canonical int"
 
     def run(r):
@@ -88,7 +88,7 @@ def test_resolution_summary(spark):
 
 
 def test_prefix_dedupe():
-    assert resolve.ordered_prefix_dedupe(["earthen energy", "earthen", "geo", "geo fuels", "earthen energy"]) == [True, False, True, True, False]
+    assert resolve.ordered_prefix_dedupe(["lumore energy", "lumore", "geo", "geo fuels", "lumore energy"]) == [True, False, True, True, False]
 
 
 def test_rank_patterns(spark):
@@ -122,8 +122,8 @@ def test_rules(spark):
 
 
 def test_text_functions(spark):
-    df = spark.createDataFrame([("Mcatalysis LLC (x)", "https://www.Foo.com/a?b", "Aikynetix – Nexus (Coming Soon)", "Calgary, Canada-based Harber Coatings, which makes paint")], "a string, b string, c string, d string")
+    df = spark.createDataFrame([("Zoncatal LLC (x)", "https://www.Foo.com/a?b", "Ordovanta – Lumen (Coming Soon)", "Calgary, Canada-based Quillmere Glazes, which makes glaze")], "a string, b string, c string, d string")
     name, programme, soon = tx.split_program("c")
     item, about, place = tx.list_item("d")
     r = df.select(tx.match_name("a"), tx.bare_domain("b"), name, programme, soon, item, about, place).first()
-    assert tuple(r) == ("mcatalysis", "foo.com", "Aikynetix", "Nexus", True, "Harber Coatings", "makes paint", "Calgary, Canada")
+    assert tuple(r) == ("zoncatal", "foo.com", "Ordovanta", "Lumen", True, "Quillmere Glazes", "makes glaze", "Calgary, Canada")

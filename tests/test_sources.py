@@ -102,6 +102,6 @@ def test_layouts_on_unrelated_pages(spark, layout):
 
 
 def test_winner_cards(spark):
-    html = "<div class='c--mosaic-card'><div class='text-container'><h4>2013 RBPC</h4><p><strong>Acme</strong> - made it</p><p>First</p></div></div>"
+    html = "<div class='c--mosaic-card'><div class='text-container'><h4>2013 finals</h4><p><strong>Acme</strong> - made it</p><p>First</p></div></div>"
     r = scan_pages(spark.createDataFrame([(1, html)], "page_id int, html string"), layouts.WINNERS).select("name", "placement", F.col("year")).first()
-    assert tuple(r) == ("Acme", "First", "2013 RBPC")
+    assert tuple(r) == ("Acme", "First", "2013 finals")
