@@ -233,7 +233,8 @@ def link(left: DataFrame, right: DataFrame, *, rounds: int = 3) -> DataFrame:
     (ids_a, a), (ids_b, b) = sides
     ka = a.select(F.col("pid").alias("pa"), F.explode("keys").alias("key"))
     kb = b.select(F.col("pid").alias("pb"), F.explode("keys").alias("key"))
-    met = ka.join(kb, "key").select("pa", "pb").distinct()
+    # keys are many times the rows the planner counts: without the hint it may broadcast them
+    met = ka.hint("merge").join(kb, "key").select("pa", "pb").distinct()
     side = lambda df, s: df.select(F.col("pid").alias(f"p{s}"), *[F.col(c).alias(f"{c}_{s}") for c in PROFILE])
     pairs = scratch.keep(compare_pairs(met.join(side(a, "a"), "pa").join(side(b, "b"), "pb")))
     histogram = pairs.groupBy("cell").agg(F.count("*").alias("n")).toPandas()  # at most 4^8 cells, whatever the input

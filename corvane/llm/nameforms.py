@@ -9,6 +9,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvane.scratch import Scratch
+
 #: Letters that have no decomposition.
 SPECIAL = str.maketrans({"ø": "o", "ß": "ss", "ł": "l", "æ": "ae", "œ": "oe", "đ": "d", "ð": "d", "þ": "th", "ı": "i"})
 #: Legal forms and articles, kinds of organisation, Roman numerals of vehicles, chemical short forms.
@@ -211,12 +213,13 @@ def general_words(tokens: DataFrame, share: float = 0.0008, least: int = 8) -> s
     """Tokens that go with many different rare tokens, from ``tokens(name, token)`` over all distinct names. A token is
     rare if it is in fewer than ``share`` of the names; a general word has at least ``share`` of the names as rare
     neighbours (and ``least``), so there are at most (tokens a name) / ``share`` of them."""
+    tokens = Scratch(tokens.sparkSession).keep(tokens)
     n = tokens.select("name").distinct().count()
     floor = max(least, share * n)
     df = tokens.groupBy("token").agg(F.count("*").alias("df"))
     frequent = df.where(F.col("df") >= floor).select("token")
     rare = tokens.join(F.broadcast(frequent), "token", "left_anti").select("name", F.col("token").alias("other"))
-    many = tokens.join(F.broadcast(frequent), "token", "left_semi").join(rare, "name").select("token", "other").distinct()
+    many = tokens.join(F.broadcast(frequent), "token", "left_semi").hint("merge").join(rare, "name").select("token", "other").distinct()
     return {r.token for r in many.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= floor).collect()}
 
 
@@ -226,6 +229,7 @@ def given_classes(people: DataFrame, share: float = 0.0005, least: int = 6, lift
     A given name goes with at least ``share`` of the surnames (and ``least``). Two are one if they meet under the same
     surname at the same company at least twice as often, ``lift`` over chance, as names drawn at random would; a few
     well-known short forms are given. The number of given names is bounded by 1 / ``share``."""
+    people = Scratch(people.sparkSession).keep(people)
     n = people.select("surname").distinct().count()
     floor = max(least, share * n)
     seen = people.where(F.length("given") > 1).select("given", "surname", "company_id").distinct()
@@ -243,7 +247,7 @@ def given_classes(people: DataFrame, share: float = 0.0005, least: int = 6, lift
     if counts:
         known = seen.join(F.broadcast(seen.sparkSession.createDataFrame([(g,) for g in counts], "given string")), "given", "left_semi")
         a, b = known.select(F.col("given").alias("a"), "surname", "company_id"), known.select(F.col("given").alias("b"), "surname", "company_id")
-        met = a.join(b, ["surname", "company_id"]).where("a < b").groupBy("a", "b").agg(F.count_distinct("surname").alias("n")).where("n >= 2")
+        met = a.hint("merge").join(b, ["surname", "company_id"]).where("a < b").groupBy("a", "b").agg(F.count_distinct("surname").alias("n")).where("n >= 2")
         for r in met.collect():
             if r.n * n >= lift * counts[r.a] * counts[r.b]:
                 x, y = root(r.a), root(r.b)

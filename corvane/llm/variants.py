@@ -85,7 +85,8 @@ def candidate_pairs(nodes: DataFrame, *, similar: float = 0.45, rows: int = 4, r
     """(a, b) of nodes of one class that share a band, each pair once, a < b."""
     keys = band_keys(nodes.select("node", "own", "class"), MinHash(rows, bands_for(similar, rows, recall), q))
     left, right = keys.withColumnRenamed("node", "a"), keys.withColumnRenamed("node", "b")
-    return left.join(right, "key").where("a < b").select("a", "b").distinct()
+    # a row has as many keys as there are bands, which the planner does not see: without the hint it may broadcast them
+    return left.hint("merge").join(right, "key").where("a < b").select("a", "b").distinct()
 
 
 def monge_elkan(a: list[str], b: list[str]) -> float:
