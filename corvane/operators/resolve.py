@@ -35,7 +35,7 @@ def similar_names(df: DataFrame, name: str, sources: str, row: str, threshold: f
     groups = df.groupBy(name, "__s").agg(F.min(row).alias("g"), F.count("*").alias("__n"))
     groups = scratch.keep(groups.withColumn("t", sorted_tokens(F.col(name))))
     keyed = groups.select("g", F.explode(blocks(F.col(name))).alias("k"))
-    pairs = keyed.join(keyed.withColumnRenamed("g", "h"), "k").where("g < h").select("g", "h").distinct()
+    pairs = keyed.hint("merge").join(keyed.withColumnRenamed("g", "h"), "k").where("g < h").select("g", "h").distinct()
     left = groups.select("g", F.col("t").alias("t1"), F.col("__s").alias("s1"))
     right = groups.select(F.col("g").alias("h"), F.col("t").alias("t2"), F.col("__s").alias("s2"))
     near = pairs.join(left, "g").join(right, "h").where(~F.coalesce(F.arrays_overlap("s1", "s2"), F.lit(False)) & may_reach(F.col("t1"), F.col("t2"), threshold))

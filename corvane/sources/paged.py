@@ -89,7 +89,7 @@ def candidate_pages(sites: DataFrame, pages: DataFrame, site: str, paths: list[s
     ``pages(url, status, text)`` are landed responses."""
     tried = sites.select(site, F.posexplode(F.array(*[F.lit(p) for p in paths])).alias("pos", "path")).withColumn("url", F.concat(site, "path"))
     good = pages.where((F.col("status") == 200) & (F.length(F.trim("text")) >= least)).select("url", "text")
-    return tried.join(good, "url").groupBy(site).agg(F.min_by(F.struct("url", "text"), "pos").alias("r")).select(site, "r.*")
+    return tried.hint("merge").join(good, "url").groupBy(site).agg(F.min_by(F.struct("url", "text"), "pos").alias("r")).select(site, "r.*")
 
 
 def lookup_first(keys: DataFrame, responses: DataFrame, key: str, shape: str) -> DataFrame:
