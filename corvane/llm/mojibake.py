@@ -45,6 +45,10 @@ ENTITY = re.compile(r"&(?:#\d{2,6}|#x[0-9a-fA-F]{2,5}|[A-Za-z]{2,8});")
 LOST = re.compile(r"�|[a-z]\?\?[a-z]|[^\W\d_]\?[\x80-\xbf‚-™]|(?<![\w?])\?[\xa8-\xbf][a-z]|\?\?[”™“]|\?€[”™“œ˜¦¢\x9d]")
 
 
+#: What may be a lost character: a question mark beside one beyond ASCII. Too weak to call a text garbled.
+HOLE = re.compile(r"[\x80-\xff‚-™]\?|\?[\x80-\xff‚-™]")
+
+
 @lru_cache(maxsize=32)
 def _table(codec: str) -> tuple[str, dict[int, int]]:
     """Characters of the 256 bytes (undefined ones as control characters) and the way back."""
@@ -286,7 +290,7 @@ class Restorer:
             return passage, "", False
         floor = 0.35 * sum(not c.isascii() for w in words for c in w) + 0.5
         paths: list[str] = []
-        whole = not LOST.search(passage)  # where characters are lost, only UTF-8 proves a restoration
+        whole = not (LOST.search(passage) or HOLE.search(passage))  # where characters are lost, only UTF-8 proves a restoration
         if own > floor:
             joined = " ".join(words[i] for i in odd)
             text, path, gain = search(joined, whole)
