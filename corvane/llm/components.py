@@ -8,7 +8,8 @@ rewritten to parents, and the next round runs over what is left, until no edge i
 
 Only representatives are carried on, so the graph shrinks every round. A hub's edges are spread over the
 cells of its row; the exchange is an aggregation with map-side combine; the union-find of a task hands over and
-starts again when it holds ``memory_vertices`` vertices, so no task holds an unbounded group.
+starts again when it holds ``memory_vertices`` vertices, so no task holds an unbounded group. What awkward edges give is
+said at ``connected_components``.
 """
 
 from __future__ import annotations

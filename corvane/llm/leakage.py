@@ -8,6 +8,9 @@ a verbatim leak, a one-to-one renaming of slots over many aligned windows is a r
 
 Windows of the corpus whose template hash no item has are dropped in the scan, by a sorted array of the items' hashes.
 Its size is checked; beyond ``filter_bound`` hashes all windows go into the join. Nothing about documents is collected.
+
+NULL, empty and short texts have no windows and so no rows; very long texts are read whole; a document or item that occurs
+twice counts once; without documents or items the results are empty; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -9,6 +9,10 @@ adjusted posterior of each cell enters the next maximisation step. The result ha
 
 Equal profiles are compared once; blocking keys are exact words, words without one letter (so one slip of the pen or two
 swapped letters are always met), sounds and hosts; no bucket is cut.
+
+A record without a name is met by its host only, without either it has no row. Unknown fields neither match nor clash.
+Repeated rows give repeated rows. Among equally good candidates the one with the larger profile hash is the best one.
+Empty tables give an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

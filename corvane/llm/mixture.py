@@ -3,7 +3,7 @@
 Every document gets a key from a hash of its id. Within a source, documents are ordered by that key: first into
 ranges of the key, whose token sums give a distributed prefix sum, then inside a range. A source whose budget is
 larger than its tokens is repeated whole, up to its cap, and the last epoch is cut where the prefix sum reaches the
-budget. There is a range for every 50,000 documents, so no task holds a source.
+budget. Equal keys are settled by the document id. There is a range for every 50,000 documents, so no task holds a source.
 """
 
 from __future__ import annotations

@@ -10,6 +10,9 @@ line of business, only an initial) join the only star of their own part, or the
 
 Only distinct nodes are compared, so repeated spellings cost nothing; signatures are keyed by class, so a bucket holds
 names that are similar in both parts.
+
+NULL and blank names have no rows; repeated names count once; a name that stands alone has no pair; ties between centres
+go to the smaller node, so the result does not depend on the order of rows; without names the result is empty.
 """
 
 from __future__ import annotations
