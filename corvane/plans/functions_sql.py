@@ -104,6 +104,17 @@ _project(
     make=lambda: dict(zip(("item", "about", "place"), tx.list_item(_ITEM()))),
     where="name not like '%based%' and name not like '%housed%' and name not like '%,%' and substring(name, 1, 1) <> ' '",
 )
+
+
+def sv_f16_all_items(spark: SparkSession, folder: str) -> DataFrame:
+    """``list_item`` over all companies, names with commas, places, clauses or NULL included. ``sv_f16_list_item`` stands
+    beside it for the names on which its SQL, which fixes the place and splits no further, says the same; this one has no
+    SQL and is tested against brute force."""
+    item, about, place = tx.list_item(_ITEM())
+    return table(spark, folder, "companies").select("id", item.alias("item"), about.alias("about"), place.alias("place"))
+
+
+QUERIES["sv_f16_all_items"] = sv_f16_all_items
 _project("sv_f17_prefix_key", "companies", "id", lambda: {"v": tx.prefix_key("name")}, {"v": r"trim(regexp_replace(trim(regexp_replace(lower(name), '[\s,.\-&]+', ' ', 'g')), '\s+(inc|llc|ltd|corp|co)\.?$', ''))"})
 _project("sv_f18_artefacts", "companies", "id", lambda: {"v": tx.trim_artefacts("name")}, {"v": r"trim(regexp_replace(trim(name), '[\s\-.]+$', ''))"})
 _project("sv_f19_keys", "companies", "id", lambda: {"v": F.lower(tx.squeeze("name")), "w": tx.plain_key("name")}, {"v": f"lower({_squeeze_sql('name')})", "w": r"trim(regexp_replace(regexp_replace(lower(name), '[^a-z0-9\s]', '', 'g'), '\s+', ' ', 'g'))"})
