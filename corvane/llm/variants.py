@@ -4,6 +4,8 @@ Names are parsed into a part of their own (the company's word, the surname) and
 class of the given name); equal parses are one node. Within a class, own parts are compared by MinHash over padded
 q-grams: signatures are cut into bands, and nodes that share a band are candidates. The number of bands follows from
 the collision curve ``1 - (1 - s^k)^b``, so that a pair of similarity ``similar`` is missed with probability 1 - ``recall``.
+One slip in a short own part leaves a lower similarity than that, so own parts also meet by their exact forms without one
+letter: no pair that is one slip apart is missed.
 Candidates are verified by Monge-Elkan similarity of their words and by the distance of their own parts, and the
 verified graph is clustered into stars: a node of highest degree and its neighbours. Names that leave the class open (no
 line of business, only an initial) join the only star of their own part, or the one that other evidence points to.
@@ -41,6 +43,12 @@ def qgrams(word: str, q: int) -> list[str]:
     return list(dict.fromkeys(padded[i : i + q] for i in range(len(padded) - q + 1)))
 
 
+def slip_forms(word: str) -> list[str]:
+    """The word, and the word without each letter: words of four letters or more that are one slip apart (a letter inserted,
+    deleted or replaced, neighbours swapped) share a form. Shorter words have none, as ``close`` takes no slip in them."""
+    return list(dict.fromkeys([word, *(word[:i] + word[i + 1 :] for i in range(len(word)))])) if len(word) >= 4 else []
+
+
 class MinHash:
     """Band keys of words. The hash family is fixed by ``seed``."""
 
@@ -69,7 +77,8 @@ class MinHash:
 
 
 def band_keys(nodes: DataFrame, minhash: MinHash, chunk: int = 2000) -> DataFrame:
-    """(key, node) of ``nodes(node bigint, own string, class string)``: band keys and the key of the sound."""
+    """(key, node) of ``nodes(node bigint, own string, class string)``: band keys, the key of the sound and those of the
+    forms without one letter."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -80,12 +89,16 @@ def band_keys(nodes: DataFrame, minhash: MinHash, chunk: int = 2000) -> DataFram
                 heard = np.array([xxhash.xxh64_intdigest(sound(w)) for w in words], dtype=np.uint64).view(np.int64)
                 keys = np.concatenate([minhash.keys(words), heard[:, None]], axis=1) ^ salt[:, None]
                 yield pd.DataFrame({"key": keys.ravel(), "node": np.repeat(part["node"].to_numpy(), keys.shape[1])})
+                forms = [slip_forms(w) for w in words]
+                slips = np.array([xxhash.xxh64_intdigest(f, seed=1) for own in forms for f in own], dtype=np.uint64).view(np.int64)
+                sizes = [len(own) for own in forms]
+                yield pd.DataFrame({"key": slips ^ np.repeat(salt, sizes), "node": np.repeat(part["node"].to_numpy(), sizes)})
 
     return nodes.mapInPandas(run, "key bigint, node bigint")
 
 
 def candidate_pairs(nodes: DataFrame, *, similar: float = 0.45, rows: int = 4, recall: float = 0.95, q: int = 3) -> DataFrame:
-    """(a, b) of nodes of one class that share a band, each pair once, a < b."""
+    """(a, b) of nodes of one class that share a band, a sound or a form without one letter, each pair once, a < b."""
     keys = band_keys(nodes.select("node", "own", "class"), MinHash(rows, bands_for(similar, rows, recall), q))
     left, right = keys.withColumnRenamed("node", "a"), keys.withColumnRenamed("node", "b")
     # a row has as many keys as there are bands, which the planner does not see: without the hint it may broadcast them

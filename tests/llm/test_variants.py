@@ -50,6 +50,21 @@ def test_minhash_meets_its_curve():
     assert np.mean([bool(np.intersect1d(far[i], far[i + 1]).size) for i in range(0, 298)]) < 0.05
 
 
+def test_every_slip_is_a_candidate(spark):
+    rng = random.Random(3)
+    words, slips = [], []
+    for n in (4, 5, 6, 7, 8, 9):
+        for kind in range(4):
+            for _ in range(25):
+                w = "".join(rng.sample("abcdefghiklmnoprstuvwxyz", n))
+                i = rng.randrange(n - 1)
+                words.append(w)
+                slips.append([w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + "q" + w[i + 1 :], w[:i] + "q" + w[i:], (w + "q")[: i + 1] + w[i + 1 :] + "j"][kind])
+    rows = [(2 * k + j, (w, v)[j], f"c{k}") for k, (w, v) in enumerate(zip(words, slips)) for j in (0, 1)]
+    found = {tuple(r) for r in candidate_pairs(spark.createDataFrame(rows, "node long, own string, class string")).collect()}
+    assert found == {(2 * k, 2 * k + 1) for k in range(len(words))}
+
+
 def test_candidates_respect_class(spark):
     df = spark.createDataFrame([(1, "acmerol", "x"), (2, "acmeroll", "x"), (3, "acmerol", "y")], "node long, own string, class string")
     assert [tuple(r) for r in candidate_pairs(df).collect()] == [(1, 2)]
