@@ -392,6 +392,16 @@ def sv_f38_name_distance(spark: SparkSession, folder: str) -> DataFrame:
     return both.select("pair_id", sorted_tokens(F.col("x")).alias("t"), F.levenshtein("x", "y").alias("d"))
 
 
+@query()
+def sv_f38_whole_distance(spark: SparkSession, folder: str) -> DataFrame:
+    """Sorted tokens and edit distance of matched names with all their letters. ``sv_f38_name_distance`` drops what is not
+    ASCII, as its SQL must; this one has no SQL and is tested against brute force."""
+    c = table(spark, folder, "companies").select("id", _names("name").alias("n"))
+    m = table(spark, folder, "match_pairs").select("pair_id", "left_id", "right_id")
+    both = m.join(c.select(F.col("id").alias("left_id"), F.col("n").alias("x")), "left_id").join(c.select(F.col("id").alias("right_id"), F.col("n").alias("y")), "right_id")
+    return both.select("pair_id", sorted_tokens(F.col("x")).alias("t"), F.levenshtein("x", "y").alias("d"))
+
+
 @query()
 def sv_f38_name_ratio(spark: SparkSession, folder: str) -> DataFrame:
     """Token-sort ratio and Ratcliff-Obershelp ratio of matched names."""
