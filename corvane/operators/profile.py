@@ -218,8 +218,8 @@ def exact_medians(counted: DataFrame) -> DataFrame:
 
 
 def find_issues(profile: Profile, *, nulls: list[str], shift: list[str], distinct: list[str], null_margin: float = 0.155) -> DataFrame:
-    """(table_name, column_name, issue, case_key): offending cells (those the profile singles out and the column's
-    check confirms) and odd loads. A load is odd in ``nulls`` if its null rate is ``null_margin`` or more above the
+    """(table_name, column_name, issue, case_key): offending cells (those that fail the column's exact check; whether they
+    conform to an induced expression has no influence) and odd loads. A load is odd in ``nulls`` if its null rate is ``null_margin`` or more above the
     median load's, in ``shift`` if its median is at least 3 times or at most a third of the loads' median, in
     ``distinct`` if it has at most half of the median load's distinct values."""
     cells = profile.cells.where("bad").select("table_name", "column_name", F.lit("cell").alias("issue"), F.col("case_id").cast("long").alias("case_key"))
