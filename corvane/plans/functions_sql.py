@@ -146,6 +146,7 @@ _project("sv_f40_cost", "documents", "doc_id", lambda: {"v": F.round(tx.token_co
 _project("sv_f42_fence", "companies", "id", lambda: {"v": F.get_json_object(tx.fence_json(F.concat(F.lit("```json\n{\"s\": \""), F.coalesce("sub_sector", F.lit("")), F.lit("\"}\n```"))), "$.s")}, {"v": "coalesce(sub_sector, '')"})
 _WORDS = ["energy", "grid", "carbon", "wind"]
 _project("sv_p01_title_words", "documents", "doc_id", lambda: {"v": tx.has_any(F.substring("text", 1, 100), _WORDS).cast("int")}, {"v": "CAST(coalesce(regexp_matches(lower(substr(text, 1, 100)), 'energy|grid|carbon|wind'), false) AS INTEGER)"})
+_project("sv_p01_text_words", "documents", "doc_id", lambda: {"v": tx.has_any("text", _WORDS).cast("int")}, {"v": "CAST(coalesce(regexp_matches(lower(text), 'energy|grid|carbon|wind'), false) AS INTEGER)"})
 _project("sv_p03_outside_host", "raw_records", "id", lambda: {"v": tx.outside_host("website", ["pagehub.example", "linkrow.test"]).cast("int")}, {
     "v": r"CAST(coalesce(regexp_matches(website, '^https?://') AND h <> '' AND h NOT IN ('pagehub.example', 'linkrow.test') AND NOT ends_with(h, '.pagehub.example') AND NOT ends_with(h, '.linkrow.test'), false) AS INTEGER)"})
 SQL["sv_p03_outside_host"] = SQL["sv_p03_outside_host"].replace("FROM raw_records", r"FROM (SELECT *, regexp_replace(lower(regexp_extract(website, '^https?://([^/?#:]*)', 1)), '^www\.', '') AS h FROM raw_records)")

@@ -58,3 +58,9 @@ def test_distance_of_whole_names(spark, tmp_path):
     tokens = [n if n is None else " ".join(sorted(re.split(r"\s+", n))) for n in low]
     want = {k: (tokens[k // 100], None if None in (low[k // 100], low[k % 100]) else distance(low[k // 100], low[k % 100])) for k, _, _ in pairs}
     assert out == want and out[304][1] == 1
+
+
+def test_words_of_whole_texts(spark, tmp_path):
+    texts = ["x" * 150 + " the Grid", "wind " + "x" * 200, "x" * 97 + "carbon", "nothing" * 40, "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.v for r in functions_sql.QUERIES["sv_p01_text_words"](spark, str(tmp_path)).collect()} == {0: 1, 1: 1, 2: 1, 3: 0, 4: 0, 5: 0}
