@@ -5,8 +5,8 @@ search. A state is a text; operations encode it in one encoding and decode the b
 entities; visited texts are remembered by hash. A state's total is the cost of its path plus a plausibility cost of its
 characters, and the search follows the cheapest total until nothing cheaper can be reached. A passage is garbled if the
 cheapest text was reached by re-coding and is cheaper than the passage itself, or if it holds traces that no re-coding
-explains (lost characters, control characters, symbols inside words). Where a passage mixes sound and garbled words, the
-search is repeated word by word.
+explains (lost characters, control characters, symbols inside words). As a passage may mix sound and garbled words, the
+search is repeated word by word, whatever the passage around a word costs.
 
 The plausibility cost knows classes of characters and their neighbours (case, script, symbols inside words), not words of
 any language, so it is the same at every size and for every corpus.
@@ -81,7 +81,7 @@ def _decode(data: bytes, codec: str) -> str | None:
 #: Letters of the Western European languages, punctuation of running text, symbols next to numbers.
 COMMON = frozenset("áéíóúýàèìòùâêîôûäëïöüãõñçåæøœßþð")
 MARKS = frozenset("’‘“”„«»–—…‐‑•")
-SYMBOLS = frozenset("€£¥°±µμ²³¹½¼¾×÷§©®™¿¡ºª₀₁₂₃₄₅₆₇₈₉†‡‰→≥≤≈∞≠")
+SYMBOLS = frozenset("№€£¥°±µμ²³¹½¼¾×÷§©®™¿¡ºª₀₁₂₃₄₅₆₇₈₉†‡‰→≥≤≈∞≠")
 #: Russian letters from frequent to rare.
 CYRILLIC = {c: w for w, letters in ((0.05, "оеаинтсрвлкмдпу"), (0.3, "яыьгзбчйхжш"), (0.7, "юцщэфъё")) for c in letters}
 
@@ -164,7 +164,7 @@ def plausibility(text: str) -> float:
             cost += 1.5 + (3 if before in LATIN or after in LATIN or (k == "K" and before in LOWER) else 0)
         elif k == "q":
             inside = before in LETTERS and after in LETTERS
-            cost += 0.2 if not inside or text[i] in "’‑–—" else 3
+            cost += 3 if before in LETTERS and text[i] == "„" else 0.2 if not inside or text[i] in "’‑–—" else 3  # „ only opens
             if before in "swb" or after in "swb":
                 cost += 1.5
         elif k == "s":
@@ -250,6 +250,8 @@ class Finding:
 
 #: What a re-coding must save.
 MARGIN = 0.5
+#: No text of a lower cost can be re-coded with that saving.
+LEAST = UTF8_COST + MARGIN
 
 
 def _recoded(path: str) -> bool:
@@ -286,27 +288,25 @@ class Restorer:
         own = plausibility(passage)
         words = re.split(r"([ \t]+)", passage)
         odd = [i for i, w in enumerate(words) if not w.isascii() or ENTITY.search(w)]
-        if own < 1.5 or not odd:
+        if own < LEAST or not odd:
             return passage, "", False
-        floor = 0.35 * sum(not c.isascii() for w in words for c in w) + 0.5
         paths: list[str] = []
         whole = not (LOST.search(passage) or HOLE.search(passage))  # where characters are lost, only UTF-8 proves a restoration
-        if own > floor:
-            joined = " ".join(words[i] for i in odd)
-            text, path, gain = search(joined, whole)
-            if path and gain >= MARGIN and len(parts := text.split(" ")) == len(odd):
-                paths.append(path)
-                for i, w in zip(odd, parts):
-                    words[i] = w
-            for i in odd:
-                if plausibility(words[i]) >= 2.5:
-                    pieces = re.split("([\ufffd?]+)", words[i])  # what is lost splits a word
-                    for k in range(0, len(pieces), 2):
-                        text, path, gain = search(pieces[k], whole)
-                        if path and gain >= MARGIN:
-                            pieces[k] = text
-                            paths.append(path)
-                    words[i] = "".join(pieces)
+        joined = " ".join(words[i] for i in odd)
+        text, path, gain = search(joined, whole)
+        if path and gain >= MARGIN and len(parts := text.split(" ")) == len(odd):
+            paths.append(path)
+            for i, w in zip(odd, parts):
+                words[i] = w
+        for i in odd:
+            if plausibility(words[i]) >= LEAST:
+                pieces = re.split("([\ufffd?]+)", words[i])  # what is lost splits a word
+                for k in range(0, len(pieces), 2):
+                    text, path, gain = search(pieces[k], whole)
+                    if path and gain >= MARGIN:
+                        pieces[k] = text
+                        paths.append(path)
+                words[i] = "".join(pieces)
         left = sum(p for i in odd if (p := plausibility(words[i])) >= 4)
         return "".join(words), " | ".join(dict.fromkeys(paths)), left >= 4
 

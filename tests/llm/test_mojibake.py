@@ -56,6 +56,15 @@ def test_one_passage_only_and_lost_characters():
     assert lost is not None and lost.lossy
 
 
+@pytest.mark.parametrize("sound", ["при 20 °C", "под № 5", "из café", "на 5 µm"])
+def test_few_garbled_characters_in_a_russian_sentence(sound):
+    words = sound.split(" ")
+    garbled = " ".join(w if w.isascii() or w in ("при", "под", "из", "на") else sloppy(w.encode(), "cp1251") for w in words)
+    text = "Команда заменила мембрану и повторила опыт {} без всякого изменения состава."
+    found = Restorer().restore(text.format(garbled))
+    assert found is not None and found.text == text.format(sound) and Restorer().restore(text.format(sound)) is None
+
+
 def test_costs_order():
     assert plausibility("été") < plausibility("Ã©tÃ©") and plausibility("ascii") == 0
 
