@@ -3,7 +3,9 @@
 Each passage (sentence or line) that holds characters beyond ASCII, or character entities, goes through a best-first
 search. A state is a text; operations encode it in one encoding and decode the bytes in another, or resolve character
 entities; visited texts are remembered by hash. A state's total is the cost of its path plus a plausibility cost of its
-characters, and the search follows the cheapest total until nothing cheaper can be reached. A passage is garbled if the
+characters, and the search follows the cheapest total until nothing cheaper can be reached; texts whose total is four times
+that of the passage and more (and 12 besides) are not followed. It ends, as every step but one re-coding between single-byte
+encodings makes the text shorter. A passage is garbled if the
 cheapest text was reached by re-coding and is cheaper than the passage itself, or if it holds traces that no re-coding
 explains (lost characters, control characters, symbols inside words). As a passage may mix sound and garbled words, the
 search is repeated word by word, whatever the passage around a word costs.
@@ -37,7 +39,6 @@ PAIRS = (
     ("cp437", "cp1251"), ("koi8_r", "cp866"), ("cp866", "koi8_r"),
 )
 UTF8_COST, BYTE_COST, ENTITY_COST = 1.0, 2.5, 0.5
-MAX_STATES = 400
 
 PASSAGE = re.compile(r"(?<=[.!?…])[ \t]+|\n+")
 ENTITY = re.compile(r"&(?:#\d{2,6}|#x[0-9a-fA-F]{2,5}|[A-Za-z]{2,8});")
@@ -219,9 +220,9 @@ def search(text: str, byte_steps: bool = True) -> tuple[str, str, float]:
     heap = [(own, 0, 0.0, text, ())]
     seen = {hash(text)}
     count = 0
-    while heap and count < MAX_STATES:
+    while heap:
         total, _, spent, state, path = heapq.heappop(heap)
-        if total > 4 * own + 12 or spent + UTF8_COST * 0.5 >= best_total or len(path) > 4:
+        if total > 4 * own + 12 or spent + UTF8_COST * 0.5 >= best_total:
             continue
         for found, price, name in _steps(state, byte_steps and all(p == "unescape" or p.endswith(">utf-8") for p in path)):
             if hash(found) in seen:

@@ -37,6 +37,15 @@ def test_read_wrongly_twice(text):
     assert found is not None and found.text == text
 
 
+@pytest.mark.parametrize("codec,text", [("cp1252", TEXTS[0]), ("cp1251", "Команда заменила мембрану и повторила опыт.")])
+def test_read_wrongly_seven_times(codec, text):
+    garbled = text
+    for _ in range(7):
+        garbled = sloppy(garbled.encode(), codec)
+    found = Restorer().restore(garbled)
+    assert found is not None and found.text == text
+
+
 @pytest.mark.parametrize("written,read", [("cp1251", "koi8_r"), ("koi8_r", "cp1251"), ("cp1251", "cp1252")])
 def test_single_byte_cyrillic(written, read):
     found = Restorer().restore(sloppy(RUSSIAN.encode(written), read))
