@@ -44,41 +44,44 @@ def _company_pairs(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark)
     rows = table(spark, folder, "companies").select(F.lower(F.trim("name")).alias("name"), "canonical_domain", "sub_sector").where("name <> ''")
     shared = shared_hosts(rows, "canonical_domain", "name")
-    rows = rows.withColumn("host", own_host("canonical_domain", shared))
-    names = rows.groupBy("name").agg(F.min("host").alias("h1"), F.max("host").alias("h2"), F.min("sub_sector").alias("s1"), F.max("sub_sector").alias("s2"))
-    names = scratch.keep(names)
+    rows = scratch.keep(rows.select("name", own_host("canonical_domain", shared).alias("host"), "sub_sector").distinct())
+    names = scratch.keep(rows.select("name").distinct())
     parsed = parse_companies(names, Vocabulary(company_vocabulary(names), {}))
     node = F.xxhash64("own", "lines", "number")
     parsed = scratch.keep(parsed.withColumn("node", node))
-    nodes = parsed.groupBy("node", "own", "line", "lines", "number").agg(F.min("h1").alias("h1"), F.max("h2").alias("h2"), F.min("s1").alias("s1"), F.max("s2").alias("s2"))
-    nodes = scratch.keep(nodes.where("own <> ''"))
+    # all hosts and sectors of a node, one row each
+    placed = rows.join(parsed.select("name", "node"), "name")
+    hosts = scratch.keep(placed.where("host is not null").select("node", "host").distinct())
+    about = placed.groupBy("node").agg(F.array_sort(F.collect_set("sub_sector")).alias("sectors"), F.coalesce(F.bool_or(F.col("host").isNotNull()), F.lit(False)).alias("located"))
+    nodes = scratch.keep(parsed.where("own <> ''").select("node", "own", "line", "lines", "number").distinct().join(about, "node"))
     full, open_ = nodes.where("line <> ''"), nodes.where("line = ''")
     typos = candidate_pairs(full.withColumn("class", F.concat_ws("|", "line", "number")))
-    own = full.select("own", "number", F.col("node").alias("n"), "h1", "h2", "s1", "s2", "lines")
+    own = full.select("own", "number", F.col("node").alias("n"), "sectors", "located", "lines")
     a, b = _side(full, "a"), _side(full, "b")
-    pairs = typos.join(a, "a").join(b, "b")
-    same = (F.col("h1_a") == F.col("h1_b")) | (F.col("h1_a") == F.col("h2_b")) | (F.col("h2_a") == F.col("h1_b")) | (F.col("h2_a") == F.col("h2_b"))
-    apart = F.col("h1_a").isNotNull() & F.col("h1_b").isNotNull() & ~same
-    supported = F.coalesce(same, F.lit(False))
-    pairs = pairs.where(~F.coalesce(apart, F.lit(False))).where(F.levenshtein("own_a", "own_b", 6) >= 0)
+    pairs = scratch.keep(typos.join(a, "a").join(b, "b").where(F.levenshtein("own_a", "own_b", 6) >= 0))
+    pairs = pairs.join(_meeting(pairs, hosts), ["a", "b"], "left")
+    supported = F.coalesce("same", F.lit(False))
+    pairs = pairs.where(~(F.col("located_a") & F.col("located_b") & ~supported))
     checked = verify(pairs.select("a", "b", "own_a", "own_b", F.concat_ws(" ", "own_a", "lines_a").alias("words_a"), F.concat_ws(" ", "own_b", "lines_b").alias("words_b"), supported.alias("supported")))
     # lines that contain one another under the same own part
     x, y = own.select("own", "number", F.col("n").alias("a"), F.col("lines").alias("la")), own.select("own", "number", F.col("n").alias("b"), F.col("lines").alias("lb"))
     inside = F.size(F.array_except(F.split("la", " "), F.split("lb", " "))) == 0
     nested = x.join(y, ["own", "number"]).where(inside & (F.col("a") != F.col("b"))).select("a", "b")
     # names without a line: the only line of their own part, or the one at the same host or in the same sector
-    o = open_.select("own", "number", F.col("node").alias("a"), F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("s1").alias("q1"), F.col("s2").alias("q2"))
-    met = o.join(own, ["own", "number"])
-    hosted = F.coalesce((F.col("o1") == F.col("h1")) | (F.col("o1") == F.col("h2")) | (F.col("o2") == F.col("h1")) | (F.col("o2") == F.col("h2")), F.lit(False))
-    clash = F.coalesce(F.col("o1").isNotNull() & F.col("h1").isNotNull() & ~hosted, F.lit(False))
-    sector = F.coalesce((F.col("q1") == F.col("s1")) & (F.col("q2") == F.col("s2")), F.lit(False))
+    o = open_.select("own", "number", F.col("node").alias("a"), F.col("located").alias("o_located"), F.col("sectors").alias("o_sectors"))
+    met = scratch.keep(o.join(own.withColumnRenamed("n", "b"), ["own", "number"]).drop("lines"))
+    met = met.join(_meeting(met, hosts), ["a", "b"], "left")
+    hosted = F.coalesce("same", F.lit(False))
+    clash = F.col("o_located") & F.col("located") & ~hosted
+    sector = (F.size("sectors") > 0) & (F.col("o_sectors") == F.col("sectors"))
     score = F.when(hosted, 3).when(clash, 0).when(sector, 2).otherwise(1)
-    met = met.select("a", F.col("n").alias("b"), score.alias("score"))
+    met = scratch.keep(met.select("a", "b", score.alias("score")))
     best = met.groupBy("a").agg(F.max("score").alias("top"), F.count("*").alias("options"))
     joined = met.join(best, "a").where((F.col("score") == F.col("top")) & ((F.col("top") >= 2) | ((F.col("top") == 1) & (F.col("options") == 1)))).select("a", "b")
     # slips at the same host, where one line is missing or both are equal; a host of one company has few names
-    hosts = full.select(F.explode(F.array_distinct(F.array("h1", "h2"))).alias("h"), F.col("node").alias("b"), F.col("own").alias("own_b"), "number", F.col("line").alias("line_b"))
-    slips = nodes.select(F.explode(F.array_distinct(F.array("h1", "h2"))).alias("h"), F.col("node").alias("a"), F.col("own").alias("own_a"), "number", F.col("line").alias("line_a")).join(hosts, ["h", "number"])
+    there = hosts.join(full.select("node", "own", "number", "line"), "node").select("host", "number", F.col("node").alias("b"), F.col("own").alias("own_b"), F.col("line").alias("line_b"))
+    here = hosts.join(nodes.select("node", "own", "number", "line"), "node").select("host", "number", F.col("node").alias("a"), F.col("own").alias("own_a"), F.col("line").alias("line_a"))
+    slips = here.join(there, ["host", "number"])
     slips = slips.where(F.col("line_a").isin("") | ((F.col("line_a") == F.col("line_b")) & (F.col("a") < F.col("b"))))
     slips = verify(slips.select("a", "b", "own_a", "own_b", F.col("own_a").alias("words_a"), F.col("own_b").alias("words_b"), F.lit(True).alias("supported")), 0.6)
     links = scratch.keep(checked.unionByName(nested).unionByName(joined).unionByName(slips).distinct())
@@ -86,7 +89,13 @@ def _company_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _side(nodes: DataFrame, s: str) -> DataFrame:
-    return nodes.select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("own", "lines", "h1", "h2") if c in nodes.columns])
+    return nodes.select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("own", "lines", "located") if c in nodes.columns])
+
+
+def _meeting(pairs: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(a, b, same = true) of the ``pairs`` of nodes that have any of their ``hosts(node, host)`` in common."""
+    left = pairs.select("a", "b").join(hosts.withColumnRenamed("node", "a"), "a")
+    return left.join(hosts.withColumnRenamed("node", "b"), ["b", "host"]).select("a", "b").distinct().withColumn("same", F.lit(True))
 
 
 def parse_people(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:

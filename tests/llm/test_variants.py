@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from corvane.llm.nameforms import Vocabulary, edits, fold, given_classes, person_tokens, sound
+from corvane.llm.q_variants import _company_pairs
 from corvane.llm.variants import MinHash, bands_for, candidate_pairs, monge_elkan, qgrams, star_clusters, variant_pairs, verify
 from corvane.scratch import Scratch
 
@@ -100,3 +101,12 @@ def test_given_classes_learned(spark):
             rows.append(("ola", f"s{i}", f"c{i}"))
     classes = given_classes(spark.createDataFrame(rows, "given string, surname string, company_id string"))
     assert classes["ola"] == classes["aleksandra"] != classes["ulrich"] and classes["bill"] == "william"
+
+
+def test_a_host_between_others_counts(spark, tmp_path):
+    lines = ["hydrogen", "carbon capture", "geothermal", "battery storage"]
+    rows = [(f"{w} {line}", f"{w}{k}.com", "x") for k, line in enumerate(lines) for w in ("ordovan", "quillmer", "brastoce", "zumblaph", "tirkelon", "haspindo")]
+    rows += [("kelmarint hydrogen", h, "x") for h in ("aaa.com", "mmm.com", "zzz.com")] + [("kelmarnit hydrogen", "mmm.com", "x"), ("kelmarrint hydrogen", "other.com", "x")]
+    spark.createDataFrame(rows, "name string, canonical_domain string, sub_sector string").write.parquet(f"{tmp_path}/companies.parquet")
+    found = {tuple(r) for r in _company_pairs(spark, str(tmp_path)).collect()}
+    assert ("kelmarint hydrogen", "kelmarnit hydrogen") in found and not any("kelmarrint hydrogen" in p for p in found)
