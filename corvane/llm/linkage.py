@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm.nameforms import Vocabulary, edits, fold, sound
@@ -71,23 +71,40 @@ def place_of(location: str | None) -> str:
     return " ".join(re.findall(r"[a-z]+", s))
 
 
-def place_in(text: str | None, places: frozenset[str]) -> str:
-    """The first known place in a text; places are one or two words."""
-    if not isinstance(text, str):
-        return ""
-    words = re.findall(r"[a-z]+", fold(text))
-    for a, b in zip(words, [*words[1:], ""]):
-        if f"{a} {b}" in places:
-            return f"{a} {b}"
-        if a in places:
-            return a
-    return ""
+#: Lower-case Latin letters with marks and the letters they are without them, by their decomposition.
+MARKED = {c: base for o in (*range(0xE0, 0x250), *range(0x1E00, 0x1F00)) if (c := chr(o)).islower() and len(base := fold(c)) == 1 and base.isascii()}
+
+
+def plain(c: Column) -> Column:
+    """Lower-case text without marks on Latin letters."""
+    return F.translate(F.lower(c), "".join(MARKED), "".join(MARKED.values()))
+
+
+def place(c: str) -> Column:
+    """``place_of`` as a column; empty where there is none."""
+    s = F.get(F.split(F.regexp_replace(plain(F.col(c)), r"\(.*?\)", " "), ","), F.lit(0))
+    s = F.regexp_replace(s, r"\b(greater|area|metro|metropolitan|region|city of)\b", " ")
+    return F.coalesce(F.array_join(F.regexp_extract_all(s, F.lit("([a-z]+)"), F.lit(1)), " "), F.lit(""))
+
+
+def words_and_pairs(c: str) -> Column:
+    """The words of a text and each two that follow one another, in order, a pair before its first word."""
+    words = F.regexp_extract_all(plain(F.col(c)), F.lit("([a-z]+)"), F.lit(1))
+    return F.flatten(F.transform(words, lambda w, i: F.array(F.concat_ws(" ", w, F.get(words, i + 1)), w)))
+
+
+def first_known(df: DataFrame, row: str, values: Column, known: DataFrame) -> DataFrame:
+    """(row, value) of the first of an array of ``values`` that ``known(value)`` has; rows with none are left out. The known
+    values are joined, so there may be any number of them."""
+    each = df.select(F.col(row), F.posexplode(values).alias("__at", "value"))
+    met = each.join(known.select("value"), "value").groupBy(row).agg(F.min(F.struct("__at", "value")).alias("__m"))
+    return met.select(row, F.col("__m.value").alias("value"))
 
 
 def host_core(label: str, vocabulary: Vocabulary) -> str:
     """The own part of a host label or path: without prefixes, suffixes and a line of business at its end."""
     word = re.sub(r"[^a-z0-9]", "", label)
-    while found := next((w for w in vocabulary.lines if len(w) >= 4 and word.endswith(w) and len(word) - len(w) >= 4), None):
+    while found := vocabulary.line_at_end(word):
         word = word[: -len(found)]
     return word
 

@@ -8,73 +8,81 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm.hosts import first_path, host, shared_hosts
-from corvane.llm.linkage import PROFILE_SCHEMA, blocking_keys, led_by, link, names_in_json, person_keys, place_in, place_of
+from corvane.llm.hosts import first_path, host, mark_shared, shared_hosts
+from corvane.llm.linkage import PROFILE_SCHEMA, blocking_keys, first_known, led_by, link, names_in_json, person_keys, place, words_and_pairs
 from corvane.llm.nameforms import Vocabulary
 from corvane.llm.q_variants import company_vocabulary, people_vocabulary
 from corvane.plans.common import table
+from corvane.scratch import Scratch
 
 #: Path segments that are pages of a site, not names.
 PAGES = frozenset("about team contact home index news en portfolio company companies".split())
 
 
-def _profiles(df: DataFrame, vocabulary: Vocabulary, places: frozenset[str]) -> DataFrame:
+def _profiles(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Profiles of ``df(id, name, host, slug, sector, place, text, people, sources)`` with blocking keys."""
-    shared = df.sparkSession.sparkContext.broadcast((vocabulary, places))
+    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
     kind = df.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        v, known = shared.value
+        v = shared.value
         for batch in batches:
             rows = []
             for r in batch.itertuples(index=False):
                 own, _, lines, number = v.company(r.name.lower().strip() if isinstance(r.name, str) else "")
                 h = r.host if isinstance(r.host, str) else ""
                 slug = r.slug if isinstance(r.slug, str) and r.slug not in PAGES else ""
-                place = place_of(r.place) or place_in(r.text, known)
                 people = person_keys(names_in_json(r.people) + ([r.contact] if isinstance(r.contact, str) else []) + led_by(r.text), v)
                 sources = "|".join(sorted({s.strip().lower() for s in (names_in_json(r.sources) or ([r.sources] if isinstance(r.sources, str) else []))}))
-                rows.append((r.id, own, lines, number, h, slug, r.sector if isinstance(r.sector, str) else "", place, people, sources, blocking_keys(own, number, h, slug, v)))
+                rows.append((r.id, own, lines, number, h, slug, r.sector if isinstance(r.sector, str) else "", r.place if isinstance(r.place, str) else "", people, sources, blocking_keys(own, number, h, slug, v)))
             yield pd.DataFrame(rows, columns=["id", "own", "lines", "number", "host", "slug", "sector", "place", "people", "sources", "keys"])
 
     return df.mapInPandas(run, f"id {kind}, {PROFILE_SCHEMA}, keys array<bigint>")
 
 
-def _frequent(values: DataFrame, form, share: float = 0.001) -> list[str]:
-    """Forms of ``values`` that at least ``share`` of all known ones have (and 2): at most 1 / ``share`` of them."""
+def _recurring(values: DataFrame, least: int = 2) -> DataFrame:
+    """Different ``values(value)`` that ``least`` rows or more have."""
+    return values.where("value <> ''").groupBy("value").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("value")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"form": [form(v) for v in batch["value"]]})
 
-    forms = values.where("value is not null").mapInPandas(run, "form string").where("form <> ''").groupBy("form").agg(F.count("*").alias("n"))
-    total = forms.agg(F.sum("n").alias("n")).first().n or 0
-    return sorted(r.form for r in forms.where(F.col("n") >= max(2, share * total)).collect())
+def _located(df: DataFrame, addresses: list[str], shared: DataFrame) -> DataFrame:
+    """``df`` with the host that is a row's own and, on a shared host, the first path segment: of the first of its
+    ``addresses`` that has one."""
+    for i, c in enumerate(addresses):
+        df = mark_shared(df.withColumn(f"__host{i}", host(c)), f"__host{i}", shared, f"__shared{i}")
+    own = F.coalesce(*[F.when(~F.col(f"__shared{i}"), F.col(f"__host{i}")) for i in range(len(addresses))])
+    path = F.coalesce(*[F.when(F.col(f"__shared{i}"), first_path(c)) for i, c in enumerate(addresses)])
+    return df.withColumn("own_host", own).withColumn("own_path", path)
 
 
 def link_sightings(raw: DataFrame, companies: DataFrame, founders: DataFrame) -> DataFrame:
-    """(left_id, right_id, confidence) of sightings and companies rows. General words, given names, shared hosts and places
-    are learned from all names, edges, domains and locations."""
+    """(left_id, right_id, confidence) of sightings and companies rows. General words, given names, shared hosts, places and
+    sectors are learned from all names, edges, domains, locations and companies; what makes each of them one is counted
+    among the rows that hold it, so it does not depend on how many others there are."""
+    scratch = Scratch(raw.sparkSession)
+    raw = raw.select("id", "source", "name_raw", "website", "description", "tags", "location_raw", "extra")
+    companies = companies.select("id", "name", "canonical_domain", "website", "sub_sector", "summary", "founder_names", "source_ids")
     named = companies.select(F.lower(F.trim("name")).alias("name"), "canonical_domain").where("name <> ''")
-    shared = shared_hosts(named, "canonical_domain", "name")
+    shared = scratch.keep(shared_hosts(named, "canonical_domain", "name"))
     people = founders.select(F.lower(F.trim("founder_name")).alias("name"), "company_id").where("name <> ''")
     vocabulary = Vocabulary(company_vocabulary(named.select("name").distinct()), people_vocabulary(people))
-    places = frozenset(_frequent(raw.select(F.col("location_raw").alias("value")), place_of))
-    own = lambda c: F.when(~host(c).isin(shared or [""]), host(c))
-    path = lambda c: F.when(host(c).isin(shared or [""]), first_path(c))
-    sectors = F.from_json("tags", "array<string>")
-    known = _frequent(companies.select(F.col("sub_sector").alias("value")), str)
-    left = raw.select(
-        "id", F.col("name_raw").alias("name"), own("website").alias("host"), path("website").alias("slug"),
-        F.get(F.filter(sectors, lambda t: t.isin(known or [""])), F.lit(0)).alias("sector"), F.col("location_raw").alias("place"),
-        F.col("description").alias("text"), F.lit(None).cast("string").alias("people"), F.get_json_object("extra", "$.contact").alias("contact"), F.col("source").alias("sources"),
+    places = scratch.keep(_recurring(raw.select(place("location_raw").alias("value"))))
+    sectors = scratch.keep(_recurring(companies.select(F.col("sub_sector").alias("value"))))
+    mention = lambda df, text: first_known(df, "id", words_and_pairs(text), places).withColumnRenamed("value", "mentioned")
+    tagged = first_known(raw, "id", F.from_json("tags", "array<string>"), sectors).withColumnRenamed("value", "sector")
+    left = _located(raw.withColumn("typed", place("location_raw")), ["website"], shared)
+    left = left.join(tagged, "id", "left").join(mention(left.where("typed = ''"), "description"), "id", "left")
+    left = left.select(
+        "id", F.col("name_raw").alias("name"), F.col("own_host").alias("host"), F.col("own_path").alias("slug"), "sector",
+        F.when(F.col("typed") == "", F.col("mentioned")).otherwise(F.col("typed")).alias("place"), F.col("description").alias("text"),
+        F.lit(None).cast("string").alias("people"), F.get_json_object("extra", "$.contact").alias("contact"), F.col("source").alias("sources"),
     )
-    right = companies.select(
-        "id", "name", F.coalesce(own("canonical_domain"), own("website")).alias("host"), F.coalesce(path("canonical_domain"), path("website")).alias("slug"),
-        F.col("sub_sector").alias("sector"), F.lit(None).cast("string").alias("place"), F.col("summary").alias("text"),
-        F.col("founder_names").alias("people"), F.lit(None).cast("string").alias("contact"), F.col("source_ids").alias("sources"),
+    right = _located(companies, ["canonical_domain", "website"], shared).join(mention(companies, "summary"), "id", "left")
+    right = right.select(
+        "id", "name", F.col("own_host").alias("host"), F.col("own_path").alias("slug"), F.col("sub_sector").alias("sector"), F.col("mentioned").alias("place"),
+        F.col("summary").alias("text"), F.col("founder_names").alias("people"), F.lit(None).cast("string").alias("contact"), F.col("source_ids").alias("sources"),
     )
-    return link(_profiles(left, vocabulary, places), _profiles(right, vocabulary, places))
+    return link(_profiles(left, vocabulary), _profiles(right, vocabulary))
 
 
 def p2_scores(spark: SparkSession, folder: str) -> DataFrame:

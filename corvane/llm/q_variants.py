@@ -8,22 +8,26 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm.hosts import own_host, shared_hosts
+from corvane.llm.hosts import host, mark_shared, shared_hosts
 from corvane.llm.nameforms import Vocabulary, company_tokens, general_words, given_classes, person_tokens
-from corvane.llm.variants import candidate_pairs, variant_pairs, verify
+from corvane.llm.variants import candidate_pairs, entities, spelling_pairs, verify
 from corvane.plans.common import table
 from corvane.scratch import Scratch
 
 
-def company_vocabulary(names: DataFrame) -> set[str]:
+def company_vocabulary(names: DataFrame) -> dict[str, int]:
     """General words over all distinct ``names(name)``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(n, t) for n in batch["name"] if n for t in set(company_tokens(n))]
-            yield pd.DataFrame(rows, columns=["name", "token"])
+            rows = []
+            for n in batch["name"]:
+                tokens = company_tokens(n) if n else []
+                first = {t: i for i, t in reversed(list(enumerate(tokens)))}
+                rows += [(n, t, tokens[i - 1] if i else None, tokens[i + 1] if i + 1 < len(tokens) else None) for t, i in first.items()]
+            yield pd.DataFrame(rows, columns=["name", "token", "before", "after"])
 
-    return general_words(names.select("name").mapInPandas(run, "name string, token string"))
+    return general_words(names.select("name").mapInPandas(run, "name string, token string, before string, after string"))
 
 
 def parse_companies(names: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -40,11 +44,13 @@ def parse_companies(names: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return names.mapInPandas(run, schema)
 
 
-def _company_pairs(spark: SparkSession, folder: str) -> DataFrame:
+def company_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, star) of all different company names, lower-case: names of one star are spellings of one company."""
     scratch = Scratch(spark)
     rows = table(spark, folder, "companies").select(F.lower(F.trim("name")).alias("name"), "canonical_domain", "sub_sector").where("name <> ''")
-    shared = shared_hosts(rows, "canonical_domain", "name")
-    rows = scratch.keep(rows.select("name", own_host("canonical_domain", shared).alias("host"), "sub_sector").distinct())
+    shared = scratch.keep(shared_hosts(rows, "canonical_domain", "name"))
+    rows = mark_shared(rows.withColumn("own", host("canonical_domain")), "own", shared, "shared")
+    rows = scratch.keep(rows.select("name", F.when(~F.col("shared"), F.col("own")).alias("host"), "sub_sector").distinct())
     names = scratch.keep(rows.select("name").distinct())
     parsed = parse_companies(names, Vocabulary(company_vocabulary(names), {}))
     node = F.xxhash64("own", "lines", "number")
@@ -85,7 +91,7 @@ def _company_pairs(spark: SparkSession, folder: str) -> DataFrame:
     slips = slips.where(F.col("line_a").isin("") | ((F.col("line_a") == F.col("line_b")) & (F.col("a") < F.col("b"))))
     slips = verify(slips.select("a", "b", "own_a", "own_b", F.col("own_a").alias("words_a"), F.col("own_b").alias("words_b"), F.lit(True).alias("supported")), 0.6)
     links = scratch.keep(checked.unionByName(nested).unionByName(joined).unionByName(slips).distinct())
-    return variant_pairs(parsed.select("name", "node"), links, scratch)
+    return entities(parsed.select("name", "node"), links, scratch)
 
 
 def _side(nodes: DataFrame, s: str) -> DataFrame:
@@ -127,7 +133,10 @@ def people_vocabulary(rows: DataFrame) -> dict[str, str]:
     return given_classes(rows.select("name", "company_id").mapInPandas(run, "given string, surname string, company_id string"))
 
 
-def _founder_pairs(spark: SparkSession, folder: str) -> DataFrame:
+def founder_entities(spark: SparkSession, folder: str, companies: DataFrame) -> DataFrame:
+    """(name, star) of all different founder names, lower-case. A name with an initial only joins the one person of that surname
+    and initial at the same company (all rows that ``companies(name, star)`` has as one), or the only person that has the
+    surname at all."""
     scratch = Scratch(spark)
     rows = table(spark, folder, "founder_company_edges").select(F.lower(F.trim("founder_name")).alias("name"), "company_id").where("name <> ''").distinct()
     rows = scratch.keep(rows)
@@ -144,9 +153,14 @@ def _founder_pairs(spark: SparkSession, folder: str) -> DataFrame:
     known = full.drop("initial").join(F.broadcast(letters), "class", "left").withColumn("initial", F.coalesce("initial", F.substring("class", 1, 1)))
     met = open_.select(F.col("node").alias("a"), "own", "initial").join(known.select(F.col("node").alias("b"), "own", "initial").distinct(), ["own", "initial"]).select("a", "b")
     met = scratch.keep(met)
-    at = parsed.select("node", "company_id").distinct()
-    together = met.join(at.withColumnRenamed("node", "a"), "a").join(at.withColumnRenamed("node", "b"), ["b", "company_id"]).select("a", "b").distinct()
-    alone = met.groupBy("a").agg(F.min("b").alias("b"), F.count("*").alias("n")).where("n = 1").select("a", "b")
+    named = table(spark, folder, "companies").select(F.col("id").alias("company_id"), F.lower(F.trim("name")).alias("cname")).distinct()
+    star = named.join(companies.withColumnRenamed("name", "cname"), "cname").groupBy("company_id").agg(F.min("star").alias("star"))
+    at = parsed.select("node", "company_id").distinct().join(star, "company_id", "left").select("node", F.coalesce("star", F.xxhash64("company_id")).alias("place")).distinct()
+    at = scratch.keep(at)
+    together = met.join(at.withColumnRenamed("node", "a"), "a").join(at.withColumnRenamed("node", "b"), ["b", "place"])
+    together = together.groupBy("a", "place").agg(F.min("b").alias("b"), F.max("b").alias("last")).where("b = last").select("a", "b").distinct()
+    bearers = full.groupBy("own").agg(F.count_distinct("class").alias("k")).where("k = 1").select("own")
+    alone = met.join(nodes.select(F.col("node").alias("a"), "own"), "a").join(bearers, "own", "left_semi").select("a", "b")
     # at one company, two or three slips, also under an initial
     placed = parsed.select("company_id", "node", "own", "class", "initial", F.substring("own", 1, 1).alias("first")).where("initial <> ''").distinct()
     other = placed.select("company_id", "first", "class", "initial", F.col("node").alias("b"), F.col("own").alias("own_b"))
@@ -156,13 +170,14 @@ def _founder_pairs(spark: SparkSession, folder: str) -> DataFrame:
     near = near.where(F.levenshtein("own", "own_b", 5) >= 0)
     near = verify(near.select(F.col("node").alias("a"), "b", F.col("own").alias("own_a"), "own_b", F.col("own").alias("words_a"), F.col("own_b").alias("words_b"), F.lit(True).alias("supported")), 0.6)
     links = scratch.keep(checked.unionByName(together).unionByName(alone).unionByName(near).distinct())
-    return variant_pairs(parsed.select("name", "node").distinct(), links, scratch)
+    return entities(parsed.select("name", "node").distinct(), links, scratch)
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of spellings of one company or founder, over all names of both tables."""
-    companies = _company_pairs(spark, folder).select(F.lit("company").alias("entity_kind"), "name_a", "name_b")
-    return companies.unionByName(_founder_pairs(spark, folder).select(F.lit("founder").alias("entity_kind"), "name_a", "name_b"))
+    companies = company_entities(spark, folder)
+    found = spelling_pairs(companies).select(F.lit("company").alias("entity_kind"), "name_a", "name_b")
+    return found.unionByName(spelling_pairs(founder_entities(spark, folder, companies)).select(F.lit("founder").alias("entity_kind"), "name_a", "name_b"))
 
 
 QUERIES = {"p4_found": p4_found}

@@ -2,7 +2,7 @@
 
 import random
 
-from corvane.llm.linkage import PROFILE, blocking_keys, compare, link, names_in_json, place_in, place_of
+from corvane.llm.linkage import PROFILE, blocking_keys, compare, first_known, link, names_in_json, place, place_of, words_and_pairs
 from corvane.llm.nameforms import Vocabulary
 from corvane.llm.q_linkage import link_sightings
 
@@ -28,9 +28,15 @@ def test_blocking_meets_one_slip():
     assert blocking_keys("", 0, "", "", V) == []
 
 
-def test_places():
+def test_places(spark):
     assert place_of("Greater Boston area") == "boston" == place_of("BOSTON (MA)") == place_of("Boston, MA") and place_of(None) == ""
-    assert place_in("Based in Katy, TX", frozenset({"katy"})) == "katy" and names_in_json("x") == [] and names_in_json('["a", 1]') == ["a"]
+    assert names_in_json("x") == [] and names_in_json('["a", 1]') == ["a"]
+    typed = ["Greater Boston area", "BOSTON (MA)", "São Brasto, X", "", None, "12", "city of Katy"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(typed)], "id int, t string")
+    assert [r.p for r in df.select("id", place("t").alias("p")).orderBy("id").collect()] == [place_of(t) for t in typed]
+    df = spark.createDataFrame([(1, "Based in Katy, TX near Saõ Brasto"), (2, "sao brasto katy"), (3, None), (4, "nowhere")], "id int, t string")
+    known = spark.createDataFrame([("katy",), ("sao brasto",)], "value string")
+    assert {tuple(r) for r in first_known(df, "id", words_and_pairs("t"), known).collect()} == {(1, "katy"), (2, "sao brasto")}
 
 
 def table(seed, n):

@@ -5,9 +5,9 @@ import random
 import numpy as np
 import pytest
 
-from corvane.llm.nameforms import Vocabulary, edits, fold, given_classes, person_tokens, sound
-from corvane.llm.q_variants import _company_pairs
-from corvane.llm.variants import MinHash, bands_for, candidate_pairs, monge_elkan, qgrams, star_clusters, variant_pairs, verify
+from corvane.llm.nameforms import Nearby, Vocabulary, edits, fold, general_words, given_classes, person_tokens, sound
+from corvane.llm.q_variants import QUERIES, company_entities, company_vocabulary
+from corvane.llm.variants import Banding, MinHash, bands_for, candidate_pairs, entities, monge_elkan, qgrams, spelling_pairs, star_clusters, verify
 from corvane.scratch import Scratch
 
 V = Vocabulary({"hydrogen", "carbon", "capture", "geothermal", "power", "storage", "inc", "ii"}, {"theodore": "theodore", "ted": "theodore", "maria": "maria"})
@@ -39,7 +39,7 @@ def test_edits_and_sounds():
 def test_minhash_meets_its_curve():
     rng = random.Random(1)
     rows, similar, recall = 4, 0.45, 0.95
-    mh = MinHash(rows, bands_for(similar, rows, recall))
+    mh = MinHash(rows, bands_for(similar, rows, recall), 3)
     words = ["".join(rng.choices("bcdfghklmnprstvw", k=4)) + "".join(rng.choices("aeiouxyz", k=5)) for _ in range(400)]
     swapped = [w[:4] + w[5] + w[4] + w[6:] for w in words]
     a, b = mh.keys(words), mh.keys(swapped)
@@ -66,6 +66,84 @@ def test_every_slip_is_a_candidate(spark):
     assert found == {(2 * k, 2 * k + 1) for k in range(len(words))}
 
 
+@pytest.mark.parametrize("letters", range(4, 13))
+def test_bands_alone_find_every_length(letters):
+    rng = random.Random(letters)
+    banding = Banding()
+    words = ["".join(rng.sample("abcdefghiklmnoprstuvwyz", letters)) for _ in range(600)]
+    at = [rng.randrange(letters - 1) for _ in words]
+    kinds = {
+        "swap": [w[:i] + w[i + 1] + w[i] + w[i + 2 :] for w, i in zip(words, at)], "replace": [w[:i] + "q" + w[i + 1 :] for w, i in zip(words, at)],
+        "insert": [w[:i] + "q" + w[i:] for w, i in zip(words, at)],
+    }
+    sets = lambda ws: [set(k) for k in map(list, _by_word(banding, ws))]
+    own = sets(words)
+    for kind, slips in kinds.items():
+        assert np.mean([bool(a & b) for a, b in zip(own, sets(slips))]) >= 0.95, kind
+
+
+def _by_word(banding, words):
+    out = [[] for _ in words]
+    for i, k in zip(*banding.keys(words)):
+        out[i].append(int(k))
+    return out
+
+
+def test_other_rows_do_not_change_the_general_words(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(4)) + rng.choice("xnl")
+    own = [word() for _ in range(120)]
+    names = [f"{o} {line} inc" for o in own for line in rng.sample(["hydrogen", "storage", "geothermal", "offshore"], 2)] + [f"{o} off shore" for o in own[:12]]
+    split = [f"{o[:5]} {o[5:]} storage" for o in own[:40]]
+    learn = lambda ns: company_vocabulary(spark.createDataFrame([(n,) for n in ns], "name string"))
+    few = learn(names + split)
+    assert set(few) == {"hydrogen", "storage", "geothermal", "offshore", "inc"}
+    assert learn(names + split + [f"{word()} {word()}" for _ in range(20_000)]) == few
+    assert general_words(spark.createDataFrame([], "name string, token string, before string, after string")) == {}
+
+
+def test_other_rows_do_not_change_the_pairs(spark, data, tmp_path):
+    import pandas as pd
+
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("cdfghjlmnpqrtvw") + rng.choice("aeiouy") for _ in range(6))
+    for t, name in (("companies", "name"), ("founder_company_edges", "founder_name")):
+        df = pd.read_parquet(f"{data}/{t}.parquet")
+        more = df.sample(4000, replace=True, random_state=1).assign(**{name: [f"zz{word()} zz{word()}" for _ in range(4000)]})
+        more["id"] = [f"other-{i}" if t == "companies" else 10**7 + i for i in range(4000)]
+        if t == "companies":
+            more = more.assign(canonical_domain=[f"{word()}.example" for _ in range(4000)], canonical_id=None)
+        else:
+            more["company_id"] = [f"other-{i}" for i in range(4000)]
+        pd.concat([df, more]).to_parquet(f"{tmp_path}/{t}.parquet")
+    q = QUERIES["p4_found"]
+    want = {tuple(r) for r in q(spark, data).collect()}
+    got = {tuple(r) for r in q(spark, str(tmp_path)).collect()}
+    assert {r for r in got if not r[1].startswith("zz") and not r[2].startswith("zz")} == want
+
+
+def test_words_few_slips_away():
+    near = Nearby(["anthony", "maria", "mario"], 2)
+    assert sorted(near.of("anthnoy")) == [(1, "anthony")] and sorted(near.of("marie")) == [(1, "maria"), (1, "mario")] and near.of("zzz") == []
+
+
+def test_slips_of_frequent_words_are_no_words():
+    v = Vocabulary({"robotics": 400, "robotix": 12, "sensing": 90, "sensors": 80}, {})
+    assert v.company("acmerol robotix")[:2] == ("acmerol", "robotics") and v.company("acmerol sensors")[1] == "sensors"
+
+
+def _people(spark, tmp_path, edges, companies):
+    spark.createDataFrame([(i, n, c) for i, (n, c) in enumerate(edges)], "id long, founder_name string, company_id string").write.parquet(f"{tmp_path}/founder_company_edges.parquet")
+    spark.createDataFrame(companies, "id string, name string, canonical_domain string, sub_sector string").write.parquet(f"{tmp_path}/companies.parquet")
+    return {tuple(r)[1:] for r in QUERIES["p4_found"](spark, str(tmp_path)).where("entity_kind = 'founder'").collect()}
+
+
+def test_initials_need_shared_evidence(spark, tmp_path):
+    companies = [("c1", "Zoncatal", None, None), ("c2", "zoncatal", None, None), ("c3", "Other", None, None)]
+    edges = [("j. smith", "c1"), ("james smith", "c2"), ("john smith", "c3"), ("k. kowaltsu", "c1"), ("karin kowaltsu", "c3"), ("m. jones", "c1"), ("mary jones", "c3"), ("ulrich jones", "c2")]
+    assert _people(spark, tmp_path, edges, companies) == {("j. smith", "james smith"), ("k. kowaltsu", "karin kowaltsu")}
+
+
 def test_candidates_respect_class(spark):
     df = spark.createDataFrame([(1, "acmerol", "x"), (2, "acmeroll", "x"), (3, "acmerol", "y")], "node long, own string, class string")
     assert [tuple(r) for r in candidate_pairs(df).collect()] == [(1, 2)]
@@ -87,8 +165,8 @@ def test_stars(spark):
 def test_pairs(spark):
     names = spark.createDataFrame([("a", 1), ("b", 1), ("c", 2), ("d", 9), ("a", 1)], "name string, node long")
     links = spark.createDataFrame([(1, 2)], "a long, b long")
-    assert sorted(tuple(r) for r in variant_pairs(names, links, Scratch(spark)).collect()) == [("a", "b"), ("a", "c"), ("b", "c")]
-    assert [tuple(r) for r in variant_pairs(names, links.where("a > 5"), Scratch(spark)).collect()] == [("a", "b")]
+    pairs = lambda links: sorted(tuple(r) for r in spelling_pairs(entities(names, links, Scratch(spark))).collect())
+    assert pairs(links) == [("a", "b"), ("a", "c"), ("b", "c")] and pairs(links.where("a > 5")) == [("a", "b")]
 
 
 def test_given_classes_learned(spark):
@@ -108,5 +186,5 @@ def test_a_host_between_others_counts(spark, tmp_path):
     rows = [(f"{w} {line}", f"{w}{k}.com", "x") for k, line in enumerate(lines) for w in ("ordovan", "quillmer", "brastoce", "zumblaph", "tirkelon", "haspindo")]
     rows += [("kelmarint hydrogen", h, "x") for h in ("aaa.com", "mmm.com", "zzz.com")] + [("kelmarnit hydrogen", "mmm.com", "x"), ("kelmarrint hydrogen", "other.com", "x")]
     spark.createDataFrame(rows, "name string, canonical_domain string, sub_sector string").write.parquet(f"{tmp_path}/companies.parquet")
-    found = {tuple(r) for r in _company_pairs(spark, str(tmp_path)).collect()}
+    found = {tuple(r) for r in spelling_pairs(company_entities(spark, str(tmp_path))).collect()}
     assert ("kelmarint hydrogen", "kelmarnit hydrogen") in found and not any("kelmarrint hydrogen" in p for p in found)
