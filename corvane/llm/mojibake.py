@@ -11,7 +11,8 @@ explains (lost characters, control characters, symbols inside words). As a passa
 search is repeated word by word, whatever the passage around a word costs.
 
 The plausibility cost knows classes of characters and their neighbours (case, script, symbols inside words), not words of
-any language, so it is the same at every size and for every corpus.
+any language, so it is the same at every size and for every corpus. What is left after the search counts by its traces
+alone, not by its letters, so text in any script, with or without blanks, is sound.
 """
 
 from __future__ import annotations
@@ -42,8 +43,9 @@ UTF8_COST, BYTE_COST, ENTITY_COST = 1.0, 2.5, 0.5
 
 PASSAGE = re.compile(r"(?<=[.!?…])[ \t]+|\n+")
 ENTITY = re.compile(r"&(?:#\d{2,6}|#x[0-9a-fA-F]{2,5}|[A-Za-z]{2,8});")
-#: A character lost inside a word: question marks next to a letter on both sides, or next to a stray symbol.
-LOST = re.compile(r"�|[a-z]\?\?[a-z]|[^\W\d_]\?[\x80-\xbf‚-™]|(?<![\w?])\?[\xa8-\xbf][a-z]|\?\?[”™“]|\?€[”™“œ˜¦¢\x9d]")
+#: A character lost while decoding: the mark that stands for one, or a question mark after a letter and before a symbol that
+#: no sentence has there (the second half of a broken character). Closing quotes and opening ¿ ¡ may follow a question.
+LOST = re.compile(r"�|[^\W\d_]\?[\x80-\x9f¢-ª¬-º¼-¾‚„†‡‰€™](?!\w*\?)|(?<![\w?])\?[¨-ª¬-º¼-¾][a-z]|[a-z]\?[¡¿][a-z]|\?€[”™“œ˜¦¢\x9d]")
 
 
 #: What may be a lost character: a question mark beside one beyond ASCII. Too weak to call a text garbled.
@@ -115,7 +117,16 @@ def _kind(c: str) -> str:
         return "g"
     if "BOX DRAWINGS" in name or 0x2580 <= o < 0x25A0 or o == 0x2310:
         return "b"
-    return "o" if c.isalpha() and not name.startswith("MODIFIER") else "m" if unicodedata.category(c) == "Mn" else "w" if o < 0x2E80 or c == "" else "e"
+    if c.isalpha() and not name.startswith("MODIFIER"):
+        return "o"
+    kind = unicodedata.category(c)
+    if kind[0] == "M":
+        return "m"
+    if o >= 0x2E80:
+        return "e"
+    if kind == "Cf":
+        return "h"
+    return "n" if kind == "Nd" or (kind[0] == "P" and not 0x2000 <= o < 0x2070) else "w"
 
 
 LETTERS = frozenset("aAlLxXcCkKgo")
@@ -123,75 +134,102 @@ LOWER, UPPER = frozenset("alxck"), frozenset("ALXCK")
 LATIN, SLAVIC = frozenset("aAlLxX"), frozenset("cCkK")
 
 
-def plausibility(text: str) -> float:
-    """Cost of the characters of a text; about 0.3 an accented letter in sound text, 3 or more for each trace of a wrong
-    encoding."""
+def weigh(text: str) -> tuple[float, float]:
+    """Cost of the characters of a text, and the part of it that is due to traces of a wrong encoding. Letters cost little: less
+    where they are common in their script; where they stand costs 1.5 or more if no script would have it so. Every script
+    has letters, marks, digits and punctuation of its own; symbols are a trace only beside letters."""
+    entities = 2.5 * len(ENTITY.findall(text)) if "&" in text else 0.0
     if text.isascii():
-        return 2.5 * len(ENTITY.findall(text)) if "&" in text else 0.0
+        return entities, 0.0
     kinds = [_kind(c) for c in text]
-    cost, run, last = 0.0, 0, len(kinds) - 1
+    cost, traces, run, last = 0.0, 0.0, 0, len(kinds) - 1
     for i, k in enumerate(kinds):
         if k in "aAdp":
             run = 0
             continue
         before = kinds[i - 1] if i else "p"
         after = kinds[i + 1] if i < last else "p"
+        trace = 0.0
         if k in "lxLX":
             run += 1
             cost += {"l": 0.3, "x": 0.8, "L": 0.5, "X": 1.0}[k]
             if run > 2:
                 cost += 1.5
             if before in SLAVIC or after in SLAVIC:
-                cost += 3
+                trace += 3
             if k in "lx":
                 if after in "ALX":
-                    cost += 3
+                    trace += 3
             else:
                 if before in LOWER:
-                    cost += 4
+                    trace += 4
                 elif after in "swbgzmf" or (after == "q" and text[i + 1] not in "’”»…–—"):
-                    cost += 3
+                    trace += 3
                 elif text[i] in "ÃÂ" and before not in LETTERS and after not in LETTERS:
-                    cost += 2.5
+                    trace += 2.5
+            cost, traces = cost + trace, traces + trace
             continue
         run = 0
         if k in "cC":
             cost += CYRILLIC[text[i].lower()]
             if k == "C" and before in LETTERS:
-                cost += 4 if before in LOWER else 0.15
+                if before in LOWER:
+                    trace += 4
+                else:
+                    cost += 0.15
             if before in LATIN or after in LATIN:
-                cost += 3
+                trace += 3
         elif k in "kK":
-            cost += 1.5 + (3 if before in LATIN or after in LATIN or (k == "K" and before in LOWER) else 0)
+            cost += 1.5
+            trace += 3 if before in LATIN or after in LATIN or (k == "K" and before in LOWER) else 0
         elif k == "q":
             inside = before in LETTERS and after in LETTERS
-            cost += 3 if before in LETTERS and text[i] == "„" else 0.2 if not inside or text[i] in "’‑–—" else 3  # „ only opens
+            if before in LETTERS and text[i] == "„":  # „ only opens
+                trace += 3
+            elif not inside or text[i] in "’‑–—" or "o" in (before, after):
+                cost += 0.2
+            else:
+                trace += 3
             if before in "swb" or after in "swb":
-                cost += 1.5
+                trace += 1.5
         elif k == "s":
             if before in LETTERS and after in LETTERS:
-                cost += 3
+                trace += 3
             elif before in LETTERS and text[i] not in "²³¹₀₁₂₃₄₅₆₇₈₉®™ºª°":
-                cost += 3
+                trace += 3
             elif after in LETTERS and text[i] in "¼½¾²³¹©™†‡‰≥≤≈∞≠×÷§":
-                cost += 3
+                trace += 3
             else:
                 cost += 0.3
         elif k == "g":
-            cost += 0.4 + (3 if before in LATIN or after in LATIN or after in "qswbLXlx" else 0)
+            cost += 0.4
+            trace += 3 if before in LATIN or after in LATIN or after in "swb" else 0
         elif k == "h":
             cost += 0.5
         elif k == "w":
-            cost += 4.5 if before in LETTERS and after in LETTERS else 3.5
+            beside = before in LETTERS or after in LETTERS
+            cost += 0 if beside else 3.5
+            trace += 4.5 if before in LETTERS and after in LETTERS else 3.5 if beside else 0
         elif k == "b":
-            cost += 4
+            trace += 4
         elif k in "zf":
-            cost += 6
+            trace += 6
         elif k == "m":
             cost += 0.5
+            trace += 1.5 if before in "aAlLxXdps" and after in "lLxXsw" else 0
+        elif k == "n":
+            cost += 0.3
+            trace += 3 if before in LATIN and after in LATIN else 0
         else:
             cost += 0.3
-    return cost + (2.5 * len(ENTITY.findall(text)) if "&" in text else 0)
+        cost, traces = cost + trace, traces + trace
+    return cost + entities, traces
+
+
+def plausibility(text: str) -> float:
+    """Cost of the characters of a text; about 0.3 an accented letter in sound text, 3 or more for each trace of a wrong
+    encoding."""
+    return weigh(text)[0]
 
 
 def _steps(text: str, byte_steps: bool) -> Iterator[tuple[str, float, str]]:
@@ -308,12 +346,12 @@ class Restorer:
                         pieces[k] = text
                         paths.append(path)
                 words[i] = "".join(pieces)
-        left = sum(p for i in odd if (p := plausibility(words[i])) >= 4)
+        left = sum(t for i in odd if (t := weigh(words[i])[1]) >= 4)
         return "".join(words), " | ".join(dict.fromkeys(paths)), left >= 4
 
     def restore(self, text: str | None) -> Finding | None:
         """None where nothing is garbled."""
-        if not text or (text.isascii() and "&" not in text and "??" not in text):
+        if not text or (text.isascii() and "&" not in text):
             return None
         spans, at = [], 0
         for m in PASSAGE.finditer(text):
