@@ -3,9 +3,10 @@
 Two tables are reduced to profiles of comparable attributes (name parts, host, sector, place, people, source). Pairs
 that share a blocking key become similarity vectors on a fixed grid of levels, so that all vectors together are a
 histogram of bounded size. A two-component Gaussian mixture, regularised and without labels, is fitted to the whole
-histogram by expectation-maximisation on the driver. After each fit, transitivity is enforced on the pairs: where a record
-matches its best candidate, another candidate may match it no more than the two candidates match each other. The mean
-adjusted posterior of each cell enters the next maximisation step. The result has a posterior for every pair.
+histogram by expectation-maximisation on the driver. Every expectation step is held to transitivity: where a record
+matches its best candidate, another candidate may match it no more than the two candidates match each other. For that the
+pairs of a record's candidates are compared too, and come to the driver as a histogram of triples of cells. The best
+candidates follow from the fit, so both are repeated until the candidates stay. The result has a posterior for every pair.
 
 Equal profiles are compared once; blocking keys are exact words, words without one letter (so one slip of the pen or two
 swapped letters are always met), sounds and hosts; no bucket is cut.
@@ -218,39 +219,70 @@ class Mixture:
             self.parts.append((total / n.sum(), mean, cov))
 
     def expect(self, x: np.ndarray) -> np.ndarray:
-        """Posterior of a match. It never falls when a similarity rises beyond the matched mean: such vectors are moved to
-        the mean of the matched component in the coordinates where they exceed it."""
-        (pm, mm, cm), (pu, mu, cu) = self.parts
+        """Posterior of a match by the features that ``x`` has: all, or the first ones. It never falls when a similarity rises
+        beyond the matched mean: such vectors are moved to the mean of the matched component where they exceed it."""
+        k = x.shape[1]
+        (pm, mm, cm), (pu, mu, cu) = [(p, mean[:k], cov[:k, :k]) for p, mean, cov in self.parts]
         y = np.minimum(x, np.maximum(mm, mu))
         score = np.log(max(pm, 1e-12)) + self._density(y, mm, cm) - np.log(max(pu, 1e-12)) - self._density(y, mu, cu)
         return 1 / (1 + np.exp(-np.clip(score, -50, 50)))
 
-    def fit(self, x: np.ndarray, n: np.ndarray, gamma: np.ndarray, factor: np.ndarray, rounds: int = 100) -> np.ndarray:
-        for _ in range(rounds):
+    def fit(self, x: np.ndarray, n: np.ndarray, gamma: np.ndarray, rivals: Rivals, rounds: int = 500) -> np.ndarray:
+        """Expectation-maximisation until no cell moves; every expectation step is held to transitivity."""
+        for turn in range(rounds):
             self.maximise(x, n, gamma)
-            new = self.expect(x) * factor
+            new = rivals.hold(self, self.expect(x), n)
             if np.abs(new - gamma).max() < 1e-4:
-                break
-            gamma = new
-        return new
+                return new
+            gamma = new if turn < 100 else (new + gamma) / 2  # what swings between two states meets in the middle
+        raise RuntimeError("the mixture does not settle")
+
+
+class Rivals:
+    """Cells of pairs (record, other candidate), (record, best candidate) and (other candidate, best candidate), with counts.
+    Transitivity: the other candidate matches no more than as both candidates match each other, given the best one."""
+
+    def __init__(self, cells: np.ndarray, rows: pd.DataFrame | None = None):
+        rows = pd.DataFrame({"cell": [], "star": [], "between": [], "n": []}) if rows is None else rows
+        at = {int(c): i for i, c in enumerate(cells)}
+        self.cell = np.array([at[int(c)] for c in rows["cell"]], dtype=np.int64)
+        self.star = np.array([at[int(c)] for c in rows["star"]], dtype=np.int64)
+        self.kinds, self.between = np.unique(rows["between"].to_numpy(dtype=np.int64), return_inverse=True)
+        self.n = rows["n"].to_numpy(dtype=float)
+
+    def within(self, mixture: Mixture) -> np.ndarray:
+        """Posteriors of the cells between candidates. The source, the last feature, is left out: two rows of one table need
+        not share one."""
+        return mixture.expect(vectors_of(self.kinds)[:, :-1])
+
+    def hold(self, mixture: Mixture, gamma: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Mean posterior of each cell once the pairs among the rivals are held to transitivity."""
+        if not len(self.n):
+            return gamma
+        cap = np.minimum(1.0, self.within(mixture)[self.between] / np.maximum(gamma[self.star], 1e-9))
+        lost = np.zeros(len(gamma))
+        np.add.at(lost, self.cell, np.maximum(gamma[self.cell] - cap, 0.0) * self.n)
+        return np.maximum(gamma - lost / n, 0.0)
 
 
 #: Weights of the features in the first guess of who matches.
 FIRST_GUESS = np.array([0.25, 0.15, 0.1, 0.2, 0.1, 0.05, 0.1, 0.05])
 
 
-def link(left: DataFrame, right: DataFrame, *, rounds: int = 3) -> DataFrame:
+def link(left: DataFrame, right: DataFrame, *, max_rounds: int = 20, transitive: bool = True) -> DataFrame:
     """(left_id, right_id, confidence) of all blocked pairs, from profiles with an ``id`` and ``keys``.
 
     ``left`` and ``right`` hold id, the columns of ``PROFILE`` (texts, empty where unknown) and ``keys``. Records without
-    keys or without a partner under any key have no row; with no pairs at all the result is empty.
+    keys or without a partner under any key have no row; with no pairs at all the result is empty. Raises if the best
+    candidates still change after ``max_rounds`` fits. ``transitive=False`` leaves the constraint out.
     """
-    scratch = Scratch(left.sparkSession)
+    spark = left.sparkSession
+    scratch = Scratch(spark)
     sides = []
     for df in (left, right):
-        df = df.withColumn("pid", F.xxhash64(*PROFILE))
+        df = scratch.keep(df.withColumn("pid", F.xxhash64(*PROFILE)))
         profiles = scratch.keep(df.groupBy("pid").agg(*[F.first(c).alias(c) for c in PROFILE], F.first("keys").alias("keys")))
-        sides.append((scratch.keep(df.select("id", "pid")), profiles))
+        sides.append((df.select("id", "pid"), profiles))
     (ids_a, a), (ids_b, b) = sides
     ka = a.select(F.col("pid").alias("pa"), F.explode("keys").alias("key"))
     kb = b.select(F.col("pid").alias("pb"), F.explode("keys").alias("key"))
@@ -258,55 +290,35 @@ def link(left: DataFrame, right: DataFrame, *, rounds: int = 3) -> DataFrame:
     met = ka.hint("merge").join(kb, "key").select("pa", "pb").distinct()
     side = lambda df, s: df.select(F.col("pid").alias(f"p{s}"), *[F.col(c).alias(f"{c}_{s}") for c in PROFILE])
     pairs = scratch.keep(compare_pairs(met.join(side(a, "a"), "pa").join(side(b, "b"), "pb")))
-    histogram = pairs.groupBy("cell").agg(F.count("*").alias("n")).toPandas()  # at most 4^8 cells, whatever the input
-    spark = left.sparkSession
+    histogram = pairs.groupBy("cell").agg(F.count("*").alias("n")).orderBy("cell").toPandas()  # at most 4^8 cells, whatever the input
     if histogram.empty:
         return ids_a.join(ids_b, ["id", "pid"]).select(F.col("id").alias("left_id"), F.col("id").alias("right_id"), F.lit(0.0).alias("confidence")).where(F.lit(False))
     cells, n = histogram["cell"].to_numpy(), histogram["n"].to_numpy(dtype=float)
     x = vectors_of(cells)
-    gamma, factor = (x @ FIRST_GUESS > 0.72).astype(float) * 0.9 + 0.05, np.ones(len(cells))
-    mixture = Mixture()
-    for turn in range(rounds):
-        gamma = mixture.fit(x, n, gamma, factor)
-        table = spark.createDataFrame(pd.DataFrame({"cell": cells, "gamma": mixture.expect(x)}))
-        scored = pairs.join(F.broadcast(table), "cell")
-        best = scored.groupBy("pa").agg(F.max(F.struct("gamma", "pb")).alias("m")).select("pa", F.col("m.pb").alias("pstar"), F.col("m.gamma").alias("gstar")).where("gstar > 0.5")
-        rivals = scored.join(best, "pa").where((F.col("pb") != F.col("pstar")) & (F.col("gamma") > 0.5))
-        rivals = rivals.select("pa", "pb", "pstar", "cell", "gamma", "gstar")
-        two = rivals.select("pb", "pstar").distinct().join(side(b, "b").withColumnRenamed("pb", "pb"), "pb")
-        two = two.join(b.select(F.col("pid").alias("pstar"), *[F.col(c).alias(f"{c}_a") for c in PROFILE]), "pstar")
-        between = compare_pairs(two).withColumnRenamed("cell", "cell2")
-        fresh = Between(mixture)
-        between = scratch.keep(between.select("pb", "pstar", fresh.column("cell2").alias("within")))
-        capped = rivals.join(between, ["pb", "pstar"]).withColumn("cap", F.least(F.lit(1.0), F.col("within") / F.col("gstar")))
-        capped = scratch.keep(capped.select("pa", "pb", "cell", "gamma", F.least("gamma", "cap").alias("adjusted")))
-        lost = capped.groupBy("cell").agg(F.sum(F.col("gamma") - F.col("adjusted")).alias("lost")).toPandas()
-        at = {c: i for i, c in enumerate(cells)}
-        total = mixture.expect(x) * n
-        factor = np.ones(len(cells))
-        for c, v in zip(lost["cell"], lost["lost"]):
-            factor[at[c]] = max(0.0, 1 - v / max(total[at[c]], 1e-9))
-    final = scored.select("pa", "pb", "gamma").join(capped.select("pa", "pb", "adjusted"), ["pa", "pb"], "left").select("pa", "pb", F.coalesce("adjusted", "gamma").alias("confidence"))
-    final = scratch.keep(final)
+    mixture, rivals, held, mark = Mixture(), Rivals(cells), None, None
+    gamma = (x @ FIRST_GUESS > 0.72).astype(float) * 0.9 + 0.05
+    cell_table = lambda name, at, values: F.broadcast(spark.createDataFrame(pd.DataFrame({name: at, f"p_{name}": values})))  # noqa: E731  at most 4^8 rows
+    for _ in range(max_rounds):
+        gamma = mixture.fit(x, n, gamma, rivals)
+        if not transitive:
+            break
+        scored = pairs.join(cell_table("cell", cells, mixture.expect(x)), "cell").where("p_cell > 0.5")
+        best = scored.groupBy("pa").agg(F.max(F.struct("p_cell", "pb", "cell")).alias("m")).select("pa", F.col("m.pb").alias("pstar"), F.col("m.cell").alias("star"))
+        others = scratch.keep(scored.join(best, "pa").where("pb <> pstar").select("pa", "pb", "cell", "pstar", "star"))
+        new_mark = others.agg(F.count("*").alias("n"), F.sum(F.xxhash64("pa", "pb", "pstar").cast("decimal(38,0)")).alias("s")).first()
+        if new_mark == mark:
+            break
+        mark = new_mark
+        two = others.select("pb", "pstar").distinct().join(side(b, "b"), "pb").join(b.select(F.col("pid").alias("pstar"), *[F.col(c).alias(f"{c}_a") for c in PROFILE]), "pstar")
+        held = scratch.keep(others.join(compare_pairs(two).withColumnRenamed("cell", "between"), ["pb", "pstar"]))
+        #: Different triples of cells, not pairs: their number depends on the grid, not on the input.
+        rivals = Rivals(cells, held.groupBy("cell", "star", "between").agg(F.count("*").alias("n")).orderBy("cell", "star", "between").toPandas())
+    else:
+        raise RuntimeError(f"the best candidates are not stable after {max_rounds} fits")
+    final = pairs.join(cell_table("cell", cells, mixture.expect(x)), "cell").select("pa", "pb", F.col("p_cell").alias("confidence"))
+    if held is not None and len(rivals.n):
+        capped = held.join(cell_table("cell", cells, mixture.expect(x)), "cell").join(cell_table("star", cells, mixture.expect(x)), "star").join(cell_table("between", rivals.kinds, rivals.within(mixture)), "between")
+        capped = capped.select("pa", "pb", F.least("p_cell", F.col("p_between") / F.col("p_star")).alias("adjusted"))
+        final = final.join(capped, ["pa", "pb"], "left").select("pa", "pb", F.coalesce("adjusted", "confidence").alias("confidence"))
     out = final.join(ids_a.select(F.col("id").alias("left_id"), F.col("pid").alias("pa")), "pa").join(ids_b.select(F.col("id").alias("right_id"), F.col("pid").alias("pb")), "pb")
     return out.select("left_id", "right_id", "confidence")
-
-
-class Between:
-    """Posterior of a cell under a fitted mixture, as a pandas function for cells that pairs of candidates fall into. The
-    source is left out: two rows of one table need not share one."""
-
-    def __init__(self, mixture: Mixture):
-        self.mixture = mixture
-
-    def column(self, c: str):
-        mixture = self.mixture
-
-        @F.pandas_udf("double")
-        def posterior(cells: pd.Series) -> pd.Series:
-            values, where = np.unique(cells.to_numpy(dtype=np.int64), return_inverse=True)
-            x = vectors_of(values)
-            x[:, -1] = mixture.parts[0][1][-1]
-            return pd.Series(mixture.expect(x)[where])
-
-        return posterior(F.col(c))

@@ -1,8 +1,12 @@
 """Linkage: comparison levels, blocking, a labelled fixture."""
 
 import random
+from collections import Counter
 
-from corvane.llm.linkage import PROFILE, blocking_keys, compare, first_known, link, names_in_json, place, place_of, words_and_pairs
+import numpy as np
+import pandas as pd
+
+from corvane.llm.linkage import PROFILE, Mixture, Rivals, vectors_of, blocking_keys, compare, first_known, link, names_in_json, place, place_of, words_and_pairs
 from corvane.llm.nameforms import Vocabulary
 from corvane.llm.q_linkage import link_sightings
 
@@ -71,6 +75,44 @@ def test_labelled(spark):
     assert len(got & truth) / len(truth) >= 0.95 and len(got & truth) / len(got) >= 0.95
 
 
+def test_transitivity_settles_rivals(spark):
+    """Sightings under a bare name that two companies share, which are in other lines of business at other hosts and so are
+    not one: without the constraint both match, with it one does."""
+    companies, raw, truth = table(7, 400)
+    lines = ["hydrogen", "storage", "carbon", "robotics", "water", "fuels"]
+    rivals, bare = [], []
+    for i, (cid, name, _, _, line, *_rest) in enumerate(companies[1:120:2]):
+        own = name.split(" ")[0]
+        other = lines[(lines.index(line) + 2) % 6]
+        rivals.append((f"x{i}", f"{own} {other.title()} Inc", f"{own.lower()}{other}.example", None, other, None, None, '["S1"]'))
+        bare.append((20_000 + i, "S1", own, None, None, None, None, None))
+    r, c, f = frames(spark, companies + rivals, raw + bare)
+    both = {t: {(x.left_id, x.right_id) for x in _linked(spark, r, c, f, t).where("confidence > 0.5").collect()} for t in (True, False)}
+    twice = lambda found: len([k for k, n in Counter(left for left, _ in found if left >= 20_000).items() if n > 1])
+    print("matched twice without and with", twice(both[False]), twice(both[True]), len(both[True] & truth), len(truth))
+    assert twice(both[False]) > 30 and twice(both[True]) == 0 and len(both[True] & truth) >= 0.95 * len(truth)
+
+
+def _linked(spark, raw, companies, founders, transitive, monkey=None):
+    import corvane.llm.q_linkage as q
+
+    old = q.link
+    q.link = lambda a, b: link(a, b, transitive=transitive)
+    try:
+        return link_sightings(raw, companies, founders)
+    finally:
+        q.link = old
+
+
+def test_held_to_transitivity():
+    cells = np.array([0, 1, 2])
+    mixture = Mixture()
+    mixture.maximise(vectors_of(np.array([0, 4**8 - 1, 5])), np.array([10.0, 10.0, 1.0]), np.array([0.05, 0.95, 0.1]))
+    rivals = Rivals(cells, pd.DataFrame({"cell": [1], "star": [2], "between": [0], "n": [4]}))
+    held = rivals.hold(mixture, np.array([0.1, 0.9, 0.95]), np.array([10.0, 8.0, 3.0]))
+    assert held[0] == 0.1 and held[2] == 0.95 and 0.44 < held[1] < 0.5
+
+
 def test_empty(spark):
     companies, raw, _ = table(7, 20)
     assert link_sightings(*frames(spark, companies, [])).count() == 0
