@@ -20,23 +20,23 @@ def _stats(spark: SparkSession, folder: str) -> Profile:
         "total_records": _outside("total_records"),
         "venture_scale": _outside("venture_scale") | (F.col("total_records").between(0, TOP) & (F.col("venture_scale") > F.col("total_records"))),
         "pass_rate": F.isnan("pass_rate") | ~F.col("pass_rate").between(0, 1),
-        "run_date": ~real_date("run_date"),
-        "run_id": ~is_uuid("run_id"),
     }
+    confirm = {"run_date": ~real_date("run_date"), "run_id": ~is_uuid("run_id"), "source_name": F.lit(False)}
     numbers = ["total_records", "hard_excluded", "not_venture_scale", "borderline", "venture_scale", "manually_promoted", "manually_demoted", "pass_rate", "false_positive_rate", "false_negative_rate"]
     texts = ["run_id", "source_name", "run_date"]
-    return Profile(table(spark, folder, "source_run_stats"), TableSpec("source_run_stats", "load_no", "id", texts + numbers, checks, numbers, texts))
+    spec = TableSpec("source_run_stats", "load_no", "id", texts + numbers, checks, numbers, texts, confirm=confirm, meaning={"run_date": ~real_date("run_date")})
+    return Profile(table(spark, folder, "source_run_stats"), spec)
 
 
 def _runs(spark: SparkSession, folder: str) -> Profile:
-    checks = {
-        "records_harvested": _outside("records_harvested"),
-        "run_id": ~is_uuid("run_id"),
+    confirm = {"run_id": ~is_uuid("run_id"), "started_at": ~real_time("started_at"), "completed_at": ~real_time("completed_at"), "source": F.lit(False), "error": F.lit(False)}
+    meaning = {
         "started_at": ~real_time("started_at"),
         "completed_at": ~real_time("completed_at") | (real_time("started_at") & (F.col("completed_at") < F.col("started_at"))),
     }
     texts = ["run_id", "source", "started_at", "completed_at", "error"]
-    return Profile(table(spark, folder, "harvest_runs"), TableSpec("harvest_runs", "load_no", "id", [*texts, "success", "records_harvested"], checks, ["success", "records_harvested"], texts))
+    spec = TableSpec("harvest_runs", "load_no", "id", [*texts, "success", "records_harvested"], {"records_harvested": _outside("records_harvested")}, ["success", "records_harvested"], texts, confirm=confirm, meaning=meaning)
+    return Profile(table(spark, folder, "harvest_runs"), spec)
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
