@@ -3,6 +3,10 @@
 Rows at one domain are linked to the smallest of them, not to one another. Names are blocked by their first four
 letters and by a first word of four letters or more; rows with equal name and sources are compared once. Two rows with a
 source in common are never linked by name alone. Ties are settled by ``seq``, the load order.
+
+A block with many names is not compared all with all: two texts whose ratio reaches the threshold differ by a bounded number
+of insertions and deletions, so of that many segments of the shorter one and one more, one is in the longer one, near its place.
+Names of such a block meet by segment; the pairs that come out are the same.
 """
 
 from __future__ import annotations
@@ -28,14 +32,54 @@ def blocks(name: Column) -> Column:
     return F.array_compact(keys)
 
 
-def similar_names(df: DataFrame, name: str, sources: str, row: str, threshold: float, scratch: Scratch) -> DataFrame:
+def _segments(length: Column, apart: float) -> Column:
+    """Into how many segments a text is cut: one more than the edits between it and the longest text that can be similar."""
+    return F.floor(apart * (length + F.floor(length * (1 + apart) / (1 - apart) + 1e-9)) + 1e-9).cast("int") + 1
+
+
+def _own_segments(t: Column, k: Column, apart: float) -> Column:
+    """Keys of the segments of a text, the shorter of a pair."""
+    n, g = F.length(t), _segments(F.length(t), apart)
+    cut = lambda i: F.floor(i * n / g).cast("int")
+    return F.transform(F.sequence(F.lit(0), g - 1), lambda i: F.xxhash64(k, n, i, F.substr(t, cut(i) + 1, cut(i + 1) - cut(i))))
+
+
+def _met_segments(t: Column, k: Column, apart: float) -> Column:
+    """Keys of the parts of a text that can be segments of a shorter or equally long one, for every such length."""
+    n = F.length(t)
+
+    def of_length(m: Column) -> Column:
+        g, edits = _segments(m, apart), F.floor(apart * (m + n) + 1e-9).cast("int")
+        fewer, more = F.floor((edits - (n - m)) / 2).cast("int"), F.floor((edits + (n - m)) / 2).cast("int")
+        cut = lambda i: F.floor(i * m / g).cast("int")
+        at = lambda i: F.sequence(F.greatest(cut(i) - fewer, F.lit(0)), F.greatest(F.least(cut(i) + more, n - cut(i + 1) + cut(i)), F.greatest(cut(i) - fewer, F.lit(0))))
+        return F.flatten(F.transform(F.sequence(F.lit(0), g - 1), lambda i: F.transform(at(i), lambda p: F.xxhash64(k, m, i, F.substr(t, p + 1, cut(i + 1) - cut(i))))))
+
+    least = F.greatest(F.ceil(n * (1 - apart) / (1 + apart) - 1e-9).cast("int"), F.lit(1))
+    return F.array_distinct(F.flatten(F.transform(F.sequence(least, n), of_length)))
+
+
+def blocked_pairs(groups: DataFrame, name: str, text: str, threshold: float, crowd: int) -> DataFrame:
+    """(g, h), g < h, of ``groups(g, name, text)`` that share a block and whose texts may reach the threshold. Blocks of more than
+    ``crowd`` names meet by segments of the text."""
+    keyed = groups.select("g", F.col(text).alias("t"), F.explode(blocks(F.col(name))).alias("k"))
+    crowded = keyed.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("k")
+    few = keyed.join(crowded, "k", "left_anti").select("g", "k")
+    pairs = few.hint("merge").join(few.withColumnRenamed("g", "h"), "k").where("g < h").select("g", "h")
+    many = keyed.join(crowded, "k", "left_semi").where(F.length("t") > 0)
+    own = many.select("g", F.explode(_own_segments(F.col("t"), F.col("k"), 1 - threshold / 100)).alias("s"))
+    met = many.select(F.col("g").alias("h"), F.explode(_met_segments(F.col("t"), F.col("k"), 1 - threshold / 100)).alias("s"))
+    by_segment = own.hint("merge").join(met, "s").where("g <> h").select(F.least("g", "h").alias("g"), F.greatest("g", "h").alias("h"))
+    return pairs.union(by_segment).distinct()
+
+
+def similar_names(df: DataFrame, name: str, sources: str, row: str, threshold: float, scratch: Scratch, crowd: int = 200) -> DataFrame:
     """(a, b) between representatives of equal (name, sources), plus every row with its representative where that one is
     linked: as linked as comparing all rows, without comparing copies."""
     df = df.where(F.coalesce(F.col(name) != "", F.lit(False))).withColumn("__s", F.array_sort(F.array_distinct(F.coalesce(F.col(sources), F.array().cast("array<string>")))))
     groups = df.groupBy(name, "__s").agg(F.min(row).alias("g"), F.count("*").alias("__n"))
     groups = scratch.keep(groups.withColumn("t", sorted_tokens(F.col(name))))
-    keyed = groups.select("g", F.explode(blocks(F.col(name))).alias("k"))
-    pairs = keyed.hint("merge").join(keyed.withColumnRenamed("g", "h"), "k").where("g < h").select("g", "h").distinct()
+    pairs = blocked_pairs(groups, name, "t", threshold, crowd)
     left = groups.select("g", F.col("t").alias("t1"), F.col("__s").alias("s1"))
     right = groups.select(F.col("g").alias("h"), F.col("t").alias("t2"), F.col("__s").alias("s2"))
     near = pairs.join(left, "g").join(right, "h").where(~F.coalesce(F.arrays_overlap("s1", "s2"), F.lit(False)) & may_reach(F.col("t1"), F.col("t2"), threshold))

@@ -33,7 +33,12 @@ def _title(e: str) -> str:
 
 
 _MATCH = r"'\b(inc|llc|lp|ltd|corp|co\.?|plc|gmbh|bv|pbc|llp|holdings|group|international)\b[\.,]?\s*$'"
-_SLUGS = r"'[\s,]+(inc|llc|ltd|corp|co|corporation|company|incorporated|limited|lp|llp|plc|pbc|gmbh|bv|holdings|group|international|energy|labs|laboratories|technologies|technology|solutions|systems)\.?$'"
+_ENDS = "inc|llc|ltd|corp|corporation|co|company|holdings|group|ventures|technologies|technology|tech|solutions|labs|laboratory|laboratories|energy|capital|partners|associates|services|systems|international"
+
+
+def _end_sql(x: str) -> str:
+    blank = "' ' || chr(9) || chr(10) || chr(13)"
+    return rf"trim(trim(trim(regexp_replace({x}, '\b({_ENDS})\b\.?\s*$', '', 'i'), {blank}), ','), {blank})"
 
 
 def _match_sql(x: str) -> str:
@@ -64,9 +69,9 @@ _project("sv_f04_base_url", "raw_records", "id", lambda: {"v": tx.base_url("webs
 _project("sv_f05_url_host", "raw_records", "id", lambda: {"v": F.regexp_extract("source_url", r"^[a-z]+://([^/?#]*)", 1)}, {"v": "regexp_extract(source_url, '^[a-z]+://([^/?#]*)', 1)"})
 _project(
     "sv_f06_slugs", "companies", "id", lambda: {"by_name": tx.name_slug("name"), "by_domain": tx.domain_slug("canonical_domain")},
-    {"by_name": _slug_sql(f"regexp_replace(trim(name), {_SLUGS}, '', 'i')"), "by_domain": _slug_sql(_domain_sql("canonical_domain"))},
+    {"by_name": _slug_sql(f"strip_accents(lower({_end_sql('name')}))"), "by_domain": _slug_sql(_domain_sql("canonical_domain"))},
 )
-_project("sv_f07_display_key", "companies", "id", lambda: {"v": tx.display_key("name")}, {"v": f"lower({_squeeze_sql(f"regexp_replace(trim(name), {_SLUGS}, '', 'i')")})"})
+_project("sv_f07_display_key", "companies", "id", lambda: {"v": tx.display_key("name")}, {"v": f"lower({_end_sql(_squeeze_sql('name'))})"})
 _project("sv_f08_slug", "raw_records", "id", lambda: {"v": tx.slug("name_raw")}, {"v": _slug_sql("name_raw")})
 _project("sv_f09_job_slug", "companies", "id", lambda: {"v": tx.job_slug("name")}, {"v": _slug_sql("regexp_replace(trim(name), '[,.]+$', '')")})
 _TOKENS, _TOKENS_SQL = lambda: F.concat(F.lit("all,"), F.replace(F.col("sub_sector"), F.lit("_"), F.lit("-")), F.lit(",water-reuse")), "('all,' || replace(sub_sector, '_', '-') || ',water-reuse')"
@@ -95,26 +100,22 @@ _project("sv_f14_image_name", "companies", "id", lambda: {"v": tx.name_from_imag
 _HOST_SQL = r"regexp_replace(regexp_replace(regexp_extract(website, '^[a-z]+://([^/?#:]*)', 1), '^www\.', ''), '\.[a-z]{2,}$', '')"
 _project("sv_f15_domain_name", "companies", "id", lambda: {"v": tx.name_from_domain("website")}, {"v": f"nullif({_title(f"trim(translate({_HOST_SQL}, '-_', '  '))")}, '')"})
 _ITEM = lambda: F.concat(F.lit("Houston-based "), "name", F.lit(", which "), F.coalesce("sub_sector", F.lit("")))
-_project(
-    "sv_f16_list_item", "companies", "id", lambda: {}, {
-        "item": r"nullif(trim(string_split(trim(name || ', which ' || coalesce(sub_sector, '')), ',')[1]), '')",
-        "about": r"nullif(regexp_replace(trim(substr(trim(name || ', which ' || coalesce(sub_sector, '')), instr(trim(name || ', which ' || coalesce(sub_sector, '')), ',') + 1)), '^(which |that |is )+', ''), '')",
-        "place": "'Houston'",
-    },
-    make=lambda: dict(zip(("item", "about", "place"), tx.list_item(_ITEM()))),
-    where="name not like '%based%' and name not like '%housed%' and name not like '%,%' and substring(name, 1, 1) <> ' '",
-)
+_ITEM_SQL = "trim('Houston-based ' || name || ', which ' || coalesce(sub_sector, ''))"
+_PLACE_SQL = rf"regexp_extract({_ITEM_SQL}, '^(?:[A-Z][^,]+,\s+)?[A-Z][a-z][\w\s]*[-–]based\s+', 0)"
+_REST_SQL = rf"trim(regexp_replace(substr({_ITEM_SQL}, length({_PLACE_SQL}) + 1), ',?\s+housed at [^,.]+', '', 'gi'))"
+_GOOD_SQL = f"length({_ITEM_SQL}) >= 5 AND NOT ends_with({_ITEM_SQL}, '›') AND NOT ends_with({_ITEM_SQL}, '>')"
 
 
 def sv_f16_all_items(spark: SparkSession, folder: str) -> DataFrame:
-    """``list_item`` over all companies, names with commas, places, clauses or NULL included. ``sv_f16_list_item`` stands
-    beside it for the names on which its SQL, which fixes the place and splits no further, says the same; this one has no
-    SQL and is tested against brute force."""
+    """``list_item`` over all companies, names with commas, places, clauses or NULL included."""
     item, about, place = tx.list_item(_ITEM())
     return table(spark, folder, "companies").select("id", item.alias("item"), about.alias("about"), place.alias("place"))
 
 
 QUERIES["sv_f16_all_items"] = sv_f16_all_items
+SQL["sv_f16_all_items"] = rf"""SELECT id, CASE WHEN {_GOOD_SQL} THEN nullif(trim(string_split({_REST_SQL}, ',')[1]), '') END AS item,
+    CASE WHEN {_GOOD_SQL} AND contains({_REST_SQL}, ',') THEN nullif(regexp_replace(trim(substr({_REST_SQL}, instr({_REST_SQL}, ',') + 1)), '^(which |that |is )+', ''), '') END AS about,
+    CASE WHEN {_GOOD_SQL} THEN nullif(regexp_replace(trim({_PLACE_SQL}), '[-–]based$', ''), '') END AS place FROM companies"""
 _project("sv_f17_prefix_key", "companies", "id", lambda: {"v": tx.prefix_key("name")}, {"v": r"trim(regexp_replace(trim(regexp_replace(lower(name), '[\s,.\-&]+', ' ', 'g')), '\s+(inc|llc|ltd|corp|co)\.?$', ''))"})
 _project("sv_f18_artefacts", "companies", "id", lambda: {"v": tx.trim_artefacts("name")}, {"v": r"trim(regexp_replace(trim(name), '[\s\-.]+$', ''))"})
 _project("sv_f19_keys", "companies", "id", lambda: {"v": F.lower(tx.squeeze("name")), "w": tx.plain_key("name")}, {"v": f"lower({_squeeze_sql('name')})", "w": r"trim(regexp_replace(regexp_replace(lower(name), '[^a-z0-9\s]', '', 'g'), '\s+', ' ', 'g'))"})
@@ -137,15 +138,24 @@ _project("sv_f27_strip_tags", "documents", "doc_id", lambda: {"v": F.md5(tx.stri
 _project("sv_f28_shorten", "raw_records", "id", lambda: {"v": tx.shorten("description", 60)}, {"v": "CASE WHEN length(description) > 60 THEN regexp_replace(substr(description, 1, 60), ' [^ ]*$', '') || '…' ELSE description END"})
 _ZIP, _ZIP_SQL = lambda: F.concat(F.lit("Suite 9, Houston TX "), F.lpad((F.col("id") % 100000).cast("string"), 5, "0")), "('Suite 9, Houston TX ' || lpad(CAST(id % 100000 AS VARCHAR), 5, '0'))"
 _project("sv_f29_zip", "raw_records", "id", lambda: {"v": tx.zip_in(_ZIP())}, {"v": rf"nullif(regexp_extract({_ZIP_SQL}, '\b([0-9]{{5}})\b', 1), '')"})
-_project("sv_f30_json", "companies", "id", lambda: {"v": F.array_join(tx.json_or_text("founder_names", "array<string>"), "; ")}, {"v": "array_to_string(CAST(try_cast(nullif(founder_names, '') AS JSON) AS VARCHAR[]), '; ')"})
+_BOTH = lambda: F.coalesce(tx.json_or_text("source_ids", "array<string>"))
+_project("sv_f30_json", "companies", "id", lambda: {"v": F.array_join(_BOTH()["value"], "; "), "t": _BOTH()["text"]}, {
+    "v": "array_to_string(CAST(try_cast(nullif(source_ids, '') AS JSON) AS VARCHAR[]), '; ')", "t": "CASE WHEN NOT json_valid(nullif(source_ids, '')) THEN source_ids END"})
 _project("sv_f31_location", "raw_records", "id", lambda: {"v": F.coalesce(F.get_json_object("extra", "$.contact"), "location_raw")}, {"v": "coalesce(json_extract_string(extra, '$.contact'), location_raw)"})
 _project("sv_f32_window", "orders", "o_orderkey", lambda: {"v": F.date_format(tx.days_before("o_orderdate", 395), "yyyy-MM-dd")}, {"v": "strftime(CAST(o_orderdate AS DATE) - 395, '%Y-%m-%d')"})
 _project("sv_f34_number", "raw_records", "id", lambda: {"v": tx.number_or_null(F.get_json_object("extra", "$.page"))}, {"v": "try_cast(json_extract_string(extra, '$.page') AS DOUBLE)"})
 _project("sv_f36_cut", "documents", "doc_id", lambda: {"v": F.md5(F.substring("text", 1, 800))}, {"v": "md5(substr(text, 1, 800))"})
 _project("sv_f40_cost", "documents", "doc_id", lambda: {"v": F.round(tx.token_cost(tx.estimated_tokens("text"), F.lit(133), 3.0, 15.0), 9), "n": tx.estimated_tokens("text")}, {"v": "round((floor(length(text) / 4) * 3.0 + 133 * 15.0) / 1000000, 9)", "n": "CAST(floor(length(text) / 4) AS BIGINT)"})
+#: Prices for a million tokens in and out of three tiers of models.
+PRICES = {"standard": (3.0, 15.0), "large": (15.0, 75.0), "small": (0.25, 1.25)}
+_TIER = lambda: F.when(F.col("lang") == "en", "small").when(F.col("lang") == "de", "large").when(F.col("lang") == "fr", "standard").otherwise(F.col("lang"))
+_project("sv_f40_models", "documents", "doc_id", lambda: {"v": F.round(tx.model_cost(_TIER(), tx.estimated_tokens("text"), F.lit(133), PRICES, "standard"), 9)}, {
+    "v": "round(CASE lang WHEN 'en' THEN floor(length(text) / 4) * 0.25 + 133 * 1.25 WHEN 'de' THEN floor(length(text) / 4) * 15.0 + 133 * 75.0 ELSE floor(length(text) / 4) * 3.0 + 133 * 15.0 END / 1000000, 9)"})
+_project("sv_f37_status", "companies", "id", lambda: {"status": tx.enrichment_status("sub_sector", "venture_scale_score", "venture_scale_confidence", "summary")}, {
+    "status": "CASE WHEN sub_sector = 'off_thesis' THEN 'off_thesis' WHEN venture_scale_score = 5.0 AND upper(coalesce(venture_scale_confidence, '')) = 'LOW' AND trim(coalesce(summary, '')) = '' THEN 'pending_description' ELSE 'enriched' END"})
 _project("sv_f42_fence", "companies", "id", lambda: {"v": F.get_json_object(tx.fence_json(F.concat(F.lit("```json\n{\"s\": \""), F.coalesce("sub_sector", F.lit("")), F.lit("\"}\n```"))), "$.s")}, {"v": "coalesce(sub_sector, '')"})
 _WORDS = ["energy", "grid", "carbon", "wind"]
-_project("sv_p01_title_words", "documents", "doc_id", lambda: {"v": tx.has_any(F.substring("text", 1, 100), _WORDS).cast("int")}, {"v": "CAST(coalesce(regexp_matches(lower(substr(text, 1, 100)), 'energy|grid|carbon|wind'), false) AS INTEGER)"})
+_project("sv_p01_title_words", "raw_records", "id", lambda: {"v": tx.has_any("name_raw", _WORDS).cast("int")}, {"v": "CAST(coalesce(regexp_matches(lower(name_raw), 'energy|grid|carbon|wind'), false) AS INTEGER)"})
 _project("sv_p01_text_words", "documents", "doc_id", lambda: {"v": tx.has_any("text", _WORDS).cast("int")}, {"v": "CAST(coalesce(regexp_matches(lower(text), 'energy|grid|carbon|wind'), false) AS INTEGER)"})
 _project("sv_p03_outside_host", "raw_records", "id", lambda: {"v": tx.outside_host("website", ["pagehub.example", "linkrow.test"]).cast("int")}, {
     "v": r"CAST(coalesce(regexp_matches(website, '^https?://') AND h <> '' AND h NOT IN ('pagehub.example', 'linkrow.test') AND NOT ends_with(h, '.pagehub.example') AND NOT ends_with(h, '.linkrow.test'), false) AS INTEGER)"})

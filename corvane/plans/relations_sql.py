@@ -13,6 +13,7 @@ from corvane.operators import lookup, rank, resolve, rules, store
 from corvane.operators.graph import components
 from corvane.operators.snapshot_diff import as_set
 from corvane.plans.common import table
+from corvane.plans.functions_sql import _domain_sql, _match_sql
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -147,7 +148,31 @@ def sv_j09_domain_stars(spark: SparkSession, folder: str) -> DataFrame:
     return resolve.star_edges(table(spark, folder, "companies").withColumn("d", tx.bare_domain("canonical_domain")), "d", "id")
 
 
-@query()
+#: Rows of the edit distance and of the longest common subsequence, a step for each letter of x, over all letters of y.
+_STEPS_SQL = """t AS (SELECT *, string_split(x, '') AS xs, string_split(y, '') AS ys FROM pairs WHERE x IS NOT NULL AND y IS NOT NULL),
+s AS (SELECT k, len(CASE WHEN x = '' THEN [] ELSE xs END) AS nx, len(CASE WHEN y = '' THEN [] ELSE ys END) AS ny, xs, ys FROM t),
+dp AS (SELECT k, nx, ny, xs, ys, 0 AS i, range(0, ny + 1) AS ed, [0 FOR j IN range(0, ny + 1)] AS lc FROM s
+       UNION ALL SELECT k, nx, ny, xs, ys, i + 1,
+         [j + list_min([CASE WHEN m = 0 THEN i + 1 ELSE least(ed[m + 1] + 1, ed[m] + CASE WHEN xs[i + 1] = ys[m] THEN 0 ELSE 1 END) - m END FOR m IN range(0, j + 1)]) FOR j IN range(0, ny + 1)],
+         [list_max([CASE WHEN m = 0 THEN 0 WHEN xs[i + 1] = ys[m] THEN lc[m] + 1 ELSE lc[m + 1] END FOR m IN range(0, j + 1)]) FOR j IN range(0, ny + 1)]
+       FROM dp WHERE i < nx),
+done AS (SELECT k, nx, ny, ed[ny + 1] AS ed, lc[ny + 1] AS lc FROM dp WHERE i = nx)"""
+_TOKENS_SQL = r"array_to_string(list_sort(string_split(trim(regexp_replace({0}, '\s+', ' ', 'g')), ' ')), ' ')"
+_SRC_SQL = "list_sort(list_distinct(list_transform(coalesce(CAST(try_cast({0} AS JSON) AS VARCHAR[]), CASE WHEN trim({0}) <> '' THEN [trim({0})] ELSE [] END), lambda x: trim(x))))"
+#: Links by name: blocked pairs of representatives with no source in common, 88 or more, and copies of what is linked.
+_SIMILAR_SQL = f"""base AS (SELECT id, {_match_sql('name')} AS n, {_SRC_SQL.format('source_ids')} AS s FROM companies),
+reps AS (SELECT n, s, min(id) AS g, count(*) AS c, {_TOKENS_SQL.format('n')} AS t FROM base WHERE n <> '' GROUP BY n, s),
+blocked AS (SELECT *, '4:' || n[1:4] AS key FROM reps WHERE length(n) >= 4 UNION ALL SELECT *, 'w:' || string_split(n, ' ')[1] FROM reps WHERE length(string_split(n, ' ')[1]) >= 4),
+cand AS (SELECT DISTINCT a.g AS a, b.g AS b, a.t AS x, b.t AS y FROM blocked a JOIN blocked b ON a.key = b.key AND a.g < b.g WHERE NOT list_has_any(a.s, b.s)
+         AND 200 * least(length(a.t), length(b.t)) >= 88 * (length(a.t) + length(b.t))),
+pairs AS (SELECT DISTINCT hash(x, y) AS k, x, y FROM cand WHERE strlen(x) <> length(x) OR strlen(y) <> length(y) OR levenshtein(x, y) <= 0.12 * (length(x) + length(y))),
+{_STEPS_SQL},
+near AS (SELECT a, b FROM cand JOIN done ON done.k = hash(x, y) WHERE nx + ny > 0 AND 200.0 * lc / (nx + ny) >= 88),
+linked AS (SELECT a AS g FROM near UNION SELECT b FROM near UNION SELECT g FROM reps WHERE len(s) = 0 AND c > 1),
+by_name AS (SELECT a, b FROM near UNION ALL SELECT r.g, base.id FROM base JOIN reps r ON r.n = base.n AND r.s = base.s JOIN linked USING (g) WHERE r.g <> base.id)"""
+
+
+@query(f"WITH RECURSIVE {_SIMILAR_SQL} SELECT a, b FROM by_name")
 def sv_j10_similar_names(spark: SparkSession, folder: str) -> DataFrame:
     """Blocked similarity join of company names, 88 or more, no source in common."""
     from corvane.scratch import Scratch
@@ -222,16 +247,13 @@ def sv_a05_signals(spark: SparkSession, folder: str) -> DataFrame:
     return df.select("id", points.alias("points"), rules.counted(F.col("s"), "HIGH").alias("n_high"), rules.flagged(F.col("s")).cast("int").alias("flagged"), rules.band(points, [(3, "full"), (1, "part")], "bare").alias("band"))
 
 
-@query("SELECT id, list_sum([least(x, 3.5) FOR x IN v]) AS a, least(list_product([1.0 + x / 10 FOR x IN v]), 1.8) AS b FROM (SELECT id, [coalesce(confidence, 0.0), length(founder_name) / 2.0] AS v FROM founder_company_edges)")
+@query("SELECT id, round(least(x, 3.5) + least(y, 3.5), 6) AS a, round(least((1.0 + x / 10) * (1.0 + y / 10), 1.8), 6) AS b FROM (SELECT id, coalesce(confidence, 0.0) AS x, length(founder_name) / 2.0 AS y FROM founder_company_edges)")
 def sv_a06_capped(spark: SparkSession, folder: str) -> DataFrame:
     """Capped sum and capped product over an array."""
     v = F.array(F.coalesce("confidence", F.lit(0.0)), F.length("founder_name") / 2.0)
     return table(spark, folder, "founder_company_edges").select("id", F.round(rules.capped_sum(v, 3.5), 6).alias("a"), F.round(rules.capped_product(F.transform(v, lambda x: 1.0 + x / 10), 1.8), 6).alias("b"))
 
 
-SQL["sv_a06_capped"] = "SELECT id, round(least(x, 3.5) + least(y, 3.5), 6) AS a, round(least((1.0 + x / 10) * (1.0 + y / 10), 1.8), 6) AS b FROM (SELECT id, coalesce(confidence, 0.0) AS x, length(founder_name) / 2.0 AS y FROM founder_company_edges)"
-
-
 @query("WITH j AS (SELECT *, coalesce(regexp_matches(lower(location_raw), 'houston|katy'), false) AS l FROM raw_records), t AS (SELECT source, string_agg(name_raw, '|' ORDER BY id) AS titles FROM (SELECT * FROM j WHERE l QUALIFY row_number() OVER (PARTITION BY source ORDER BY id) <= 10) GROUP BY source) SELECT j.source, count(*) AS n_jobs, count(*) FILTER (l) AS n_local, min(t.titles) AS titles FROM j LEFT JOIN t ON t.source = j.source GROUP BY j.source")
 def sv_a08_rollup(spark: SparkSession, folder: str) -> DataFrame:
     """Rollup of each source's sightings: all, local, the first ten local names."""
@@ -244,10 +266,8 @@ def sv_a08_rollup(spark: SparkSession, folder: str) -> DataFrame:
 @query("SELECT k AS id, name_raw, string_agg(source, '|' ORDER BY source) AS sources FROM (SELECT DISTINCT k, source, first_value(name_raw) OVER (PARTITION BY k ORDER BY id) AS name_raw FROM (SELECT id, source, name_raw, trim(regexp_replace(lower(name_raw), '[^a-z0-9]+', '-', 'g'), '-') AS k FROM raw_records) WHERE k <> '') GROUP BY 1, 2")
 def sv_a14_first_sighting(spark: SparkSession, folder: str) -> DataFrame:
     """One company a slug: the first sighting's name and all sources."""
-    raw = table(spark, folder, "raw_records").withColumn("k", tx.slug("name_raw")).where("k <> ''")
-    first = lookup.best(raw, {"id": F.col("k")}, [F.col("id")], ["name_raw"])
-    sources = raw.groupBy(F.col("k").alias("id")).agg(F.array_join(F.array_sort(F.collect_set("source")), "|").alias("sources"))
-    return first.join(sources, "id")
+    raw = table(spark, folder, "raw_records").select("id", "source", "name_raw", tx.slug("name_raw").alias("k")).where("k <> ''")
+    return raw.groupBy(F.col("k").alias("id")).agg(F.min_by("name_raw", "id").alias("name_raw"), F.array_join(F.array_sort(F.collect_set("source")), "|").alias("sources"))
 
 
 @query("SELECT source, company_id, string_agg(CAST(v AS VARCHAR), ',' ORDER BY v) AS deliveries FROM (SELECT DISTINCT source, lower(trim(company_id)) AS company_id, snapshot_no AS v FROM raw_records WHERE company_id IS NOT NULL) GROUP BY 1, 2")
@@ -312,9 +332,6 @@ def sv_u01_union(spark: SparkSession, folder: str) -> DataFrame:
     return a.unionByName(table(spark, folder, "harvest_runs").select(F.lit("runs").alias("origin"), "run_id", "source", F.col("records_harvested").alias("n")))
 
 
-_SRC_SQL = "list_sort(list_distinct(list_transform(coalesce(CAST(try_cast({0} AS JSON) AS VARCHAR[]), CASE WHEN trim({0}) <> '' THEN [trim({0})] ELSE [] END), lambda x: trim(x))))"
-
-
 @query(f"SELECT p.pair_id, CAST(list_has_any({_SRC_SQL.format('a.source_ids')}, {_SRC_SQL.format('b.source_ids')}) AS INTEGER) AS shared, array_to_string(list_sort(list_distinct(list_concat({_SRC_SQL.format('a.source_ids')}, {_SRC_SQL.format('b.source_ids')}))), '|') AS every, len(list_filter({_SRC_SQL.format('a.source_ids')}, lambda x: NOT list_contains({_SRC_SQL.format('b.source_ids')}, x))) AS only_left FROM match_pairs p JOIN companies a ON a.id = p.left_id JOIN companies b ON b.id = p.right_id")
 def sv_u02_source_sets(spark: SparkSession, folder: str) -> DataFrame:
     """Overlap, union and difference of the sources of matched rows."""
@@ -339,7 +356,7 @@ def sv_k12_replace(spark: SparkSession, folder: str) -> DataFrame:
     return store.insert_or_replace(df.where("load_no < 12"), df.where("load_no = 12"), ["source_name"])
 
 
-@query("SELECT c.id, coalesce(CASE WHEN c.is_duplicate = 0 THEN u.s END, c.summary) AS summary FROM companies c LEFT JOIN (SELECT id, upper(name) AS s FROM companies WHERE summary IS NULL) u ON u.id = c.id")
+@query("SELECT id, CASE WHEN summary IS NULL AND is_duplicate = 0 THEN upper(name) ELSE summary END AS summary FROM companies")
 def sv_k04_update(spark: SparkSession, folder: str) -> DataFrame:
     """Keyed update where a guard holds."""
     c = table(spark, folder, "companies")
@@ -347,9 +364,6 @@ def sv_k04_update(spark: SparkSession, folder: str) -> DataFrame:
     return store.update_columns(c.select("id", "summary", "is_duplicate"), new, "id", ["summary"], F.col("is_duplicate") == 0).select("id", "summary")
 
 
-SQL["sv_k04_update"] = "SELECT id, CASE WHEN summary IS NULL AND is_duplicate = 0 THEN upper(name) ELSE summary END AS summary FROM companies"
-
-
 @query("SELECT id, name, CAST(NULL AS VARCHAR) AS extra_note FROM companies")
 def sv_k18_migrate(spark: SparkSession, folder: str) -> DataFrame:
     """Additive, idempotent schema migration."""
@@ -367,7 +381,18 @@ def sv_k17_cells(spark: SparkSession, folder: str) -> DataFrame:
     return g.select("company_id", store.display_list(F.col("f"), "n", "s", "note").alias("cell"))
 
 
-@query()
+#: Resolution of all companies: stars of a domain, links by name, what reaches what, and the canonical row of each component.
+_RESOLVE_SQL = f"""{_SIMILAR_SQL},
+doms AS (SELECT id, {_domain_sql('canonical_domain')} AS d FROM companies),
+stars AS (SELECT min(id) OVER (PARTITION BY d) AS a, id AS b FROM doms WHERE d IS NOT NULL QUALIFY a <> b),
+links AS (SELECT a, b FROM stars UNION SELECT a, b FROM by_name), ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a, b FROM ways UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a),
+comp AS (SELECT a AS id, min(b) AS component FROM reach GROUP BY a),
+ranked AS (SELECT id, component, CASE WHEN venture_scale_score BETWEEN 0 AND 10 AND NOT isnan(venture_scale_score) THEN venture_scale_score ELSE 0.0 END AS score, coalesce(first_seen_at, '9999') AS seen FROM comp JOIN companies USING (id)),
+at_domain AS (SELECT DISTINCT component FROM stars JOIN comp ON comp.id = stars.a)"""
+
+
+@query(f"WITH RECURSIVE {_RESOLVE_SQL}, firsts AS (SELECT component, id AS canonical FROM ranked QUALIFY row_number() OVER (PARTITION BY component ORDER BY score DESC, seen, id) = 1) SELECT c.id, coalesce(f.canonical, c.id) AS canonical, CAST(coalesce(f.canonical <> c.id, false) AS INTEGER) AS is_duplicate, CASE WHEN f.canonical IS NULL THEN NULL WHEN a.component IS NOT NULL THEN 'domain' ELSE 'fuzzy_name' END AS match_type FROM companies c LEFT JOIN comp ON comp.id = c.id LEFT JOIN firsts f ON f.component = comp.component LEFT JOIN at_domain a ON a.component = comp.component")
 def sv_d01_resolve(spark: SparkSession, folder: str) -> DataFrame:
     """Duplicates of all companies by domain and by name."""
     c = table(spark, folder, "companies")
@@ -383,25 +408,21 @@ def sv_d02_components(spark: SparkSession, folder: str) -> DataFrame:
     return components(m, "left_id", "right_id")
 
 
-@query(r"WITH m AS (SELECT p.pair_id, regexp_replace(lower(trim(a.name)), '[^ -~]', '', 'g') AS x, regexp_replace(lower(trim(b.name)), '[^ -~]', '', 'g') AS y FROM match_pairs p JOIN companies a ON a.id = p.left_id JOIN companies b ON b.id = p.right_id) SELECT pair_id, array_to_string(list_sort(string_split(trim(regexp_replace(x, '\s+', ' ', 'g')), ' ')), ' ') AS t, CAST(levenshtein(x, y) AS INTEGER) AS d FROM m")
-def sv_f38_name_distance(spark: SparkSession, folder: str) -> DataFrame:
-    """Sorted tokens and edit distance of matched names, ASCII letters only (DuckDB counts bytes): the filter before the ratio."""
-    c = table(spark, folder, "companies").select("id", F.regexp_replace(_names("name"), r"[^ -~]", "").alias("n"))
-    m = table(spark, folder, "match_pairs").select("pair_id", "left_id", "right_id")
-    both = m.join(c.select(F.col("id").alias("left_id"), F.col("n").alias("x")), "left_id").join(c.select(F.col("id").alias("right_id"), F.col("n").alias("y")), "right_id")
-    return both.select("pair_id", sorted_tokens(F.col("x")).alias("t"), F.levenshtein("x", "y").alias("d"))
-
-
-@query()
+@query(f"WITH RECURSIVE m AS (SELECT p.pair_id, lower(trim(a.name)) AS x, lower(trim(b.name)) AS y FROM match_pairs p JOIN companies a ON a.id = p.left_id JOIN companies b ON b.id = p.right_id), pairs AS (SELECT DISTINCT hash(x, y) AS k, x, y FROM m), {_STEPS_SQL} SELECT pair_id, {_TOKENS_SQL.format('x')} AS t, CAST(ed AS INTEGER) AS d FROM m LEFT JOIN done ON done.k = hash(x, y)")
 def sv_f38_whole_distance(spark: SparkSession, folder: str) -> DataFrame:
-    """Sorted tokens and edit distance of matched names with all their letters. ``sv_f38_name_distance`` drops what is not
-    ASCII, as its SQL must; this one has no SQL and is tested against brute force."""
+    """Sorted tokens and edit distance of matched names with all their letters."""
     c = table(spark, folder, "companies").select("id", _names("name").alias("n"))
     m = table(spark, folder, "match_pairs").select("pair_id", "left_id", "right_id")
     both = m.join(c.select(F.col("id").alias("left_id"), F.col("n").alias("x")), "left_id").join(c.select(F.col("id").alias("right_id"), F.col("n").alias("y")), "right_id")
     return both.select("pair_id", sorted_tokens(F.col("x")).alias("t"), F.levenshtein("x", "y").alias("d"))
 
 
+@query(f"WITH RECURSIVE m AS (SELECT p.pair_id, {_TOKENS_SQL.format(_match_sql('a.name'))} AS x, {_TOKENS_SQL.format(_match_sql('b.name'))} AS y FROM match_pairs p JOIN companies a ON a.id = p.left_id JOIN companies b ON b.id = p.right_id), pairs AS (SELECT DISTINCT hash(x, y) AS k, x, y FROM m), {_STEPS_SQL} SELECT pair_id, round(CASE WHEN nx + ny = 0 THEN 0.0 ELSE 200.0 * lc / (nx + ny) END, 4) AS ratio FROM m LEFT JOIN done ON done.k = hash(x, y)")
+def sv_f38_token_ratio(spark: SparkSession, folder: str) -> DataFrame:
+    """Token-sort ratio of matched names, from the longest common subsequence of their sorted words."""
+    return sv_f38_name_ratio(spark, folder).select("pair_id", "ratio")
+
+
 @query()
 def sv_f38_name_ratio(spark: SparkSession, folder: str) -> DataFrame:
     """Token-sort ratio and Ratcliff-Obershelp ratio of matched names."""

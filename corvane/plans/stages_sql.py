@@ -14,6 +14,8 @@ from corvane.model_calls.map import add_known
 from corvane.operators import lookup, resolve, store
 from corvane.operators.snapshot_diff import as_set
 from corvane.plans.common import table
+from corvane.plans.functions_sql import _end_sql, _slug_sql
+from corvane.plans.relations_sql import _RESOLVE_SQL
 from corvane.scratch import scratch_dir
 from corvane.sources import feeds
 from corvane.sources.paged import candidate_pages, first_platform, lookup_first
@@ -86,7 +88,7 @@ def sv_a10_summary(spark: SparkSession, folder: str) -> DataFrame:
     return c.groupBy(F.coalesce("sub_sector", F.lit("?")).alias("line")).agg(F.count("*").alias("n"), F.count_if(F.col("founder_names").startswith("[")).alias("n_named"), F.count_if(F.col("website").isNull()).alias("n_offline"), F.min("name").alias("sample"))
 
 
-@query()
+@query(f"WITH RECURSIVE {_RESOLVE_SQL}, n AS (SELECT count(*) AS n FROM companies), k AS (SELECT count(*) AS members, count(DISTINCT component) AS merges FROM comp), u AS (SELECT coalesce(sum(m), 0) AS domain_unions FROM (SELECT count(*) - 1 AS m FROM doms WHERE d IS NOT NULL GROUP BY d)) SELECT n.n AS before_count, n.n - (k.members - k.merges) AS after_count, k.members - k.merges AS duplicates, k.merges, CAST(u.domain_unions AS BIGINT) AS domain_unions FROM n, k, u")
 def sv_a12_resolution(spark: SparkSession, folder: str) -> DataFrame:
     """Summary of a resolution: before, after, merges, unions by domain."""
     c = table(spark, folder, "companies")
@@ -226,7 +228,7 @@ def sv_l10_add_known(spark: SparkSession, folder: str) -> DataFrame:
     return c.join(e, "id").select("id", F.array_join(F.transform(add_known(F.col("named"), F.col("known"), "name"), lambda x: x["name"]), "|").alias("founders"))
 
 
-@query("SELECT k AS id, count(DISTINCT source) AS n_sources FROM (SELECT source, trim(regexp_replace(lower(regexp_replace(trim(name_raw), '[\\s,]+(inc|llc|ltd|corp|co|corporation|company|incorporated|limited|lp|llp|plc|pbc|gmbh|bv|holdings|group|international|energy|labs|laboratories|technologies|technology|solutions|systems)\\.?$', '', 'i')), '[^a-z0-9]+', '-', 'g'), '-') AS k FROM raw_records) WHERE k <> '' GROUP BY 1")
+@query(f"SELECT k AS id, count(DISTINCT source) AS n_sources FROM (SELECT source, {_slug_sql(f"strip_accents(lower({_end_sql('name_raw')}))")} AS k FROM raw_records) WHERE k <> '' GROUP BY 1")
 def sv_x03_consolidate(spark: SparkSession, folder: str) -> DataFrame:
     """The consolidation stage over all sightings."""
     raw = table(spark, folder, "raw_records").withColumnRenamed("id", "raw_id")

@@ -127,3 +127,25 @@ def test_text_functions(spark):
     item, about, place = tx.list_item("d")
     r = df.select(tx.match_name("a"), tx.bare_domain("b"), name, programme, soon, item, about, place).first()
     assert tuple(r) == ("zoncatal", "foo.com", "Ordovanta", "Lumen", True, "Quillmere Glazes", "makes glaze", "Calgary, Canada")
+
+
+def test_crowded_blocks_give_the_same_pairs(spark):
+    """One prefix in all names, half of them slips of others: by segments as by comparing all."""
+    import random
+
+    from corvane.functions.similarity import _indel, indel_ratio
+    from corvane.operators.resolve import blocked_pairs
+
+    rng = random.Random(8)
+    names = []
+    for _ in range(120):
+        n = "acme" + "".join(rng.choices("abcdefgh ", k=rng.randrange(1, 30)))
+        for _ in range(rng.randrange(1, 3)):
+            i = rng.randrange(4, len(n) + 1)
+            n = rng.choice([n[:i] + rng.choice("abcxyz") + n[i:], n[:i] + n[i + 1 :], n])
+            names.append(n)
+    groups = spark.createDataFrame([(f"{i:04}", n) for i, n in enumerate(names)], "g string, t string")
+    pairs = blocked_pairs(groups, "t", "t", 88.0, 10)
+    both = pairs.join(groups, "g").join(groups.toDF("h", "u"), "h").where(indel_ratio("t", "u") >= 88)
+    want = {(f"{i:04}", f"{j:04}") for i in range(len(names)) for j in range(i + 1, len(names)) if _indel(names[i], names[j]) >= 88}
+    assert len(want) > 60 and {(r.g, r.h) for r in both.collect()} == want
