@@ -111,3 +111,48 @@ def job_rollup(jobs: DataFrame, key: str, title: str, location: str, keywords: l
 
     firsts = top_k_per_key(ranked.where("__l"), key, [F.col("seq")], titles).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("rank", title))).alias("t"))
     return counts.join(firsts.select(key, F.transform("t", lambda x: x[title]).alias("titles")), key, "left")
+
+
+def with_fallback(df: DataFrame, defaults: dict) -> DataFrame:
+    """``df`` with defaults where a column is NULL: a detail that could not be read does not lose its row."""
+    return df.select(*[F.coalesce(c, defaults[c]).alias(c) if c in defaults else F.col(c) for c in df.columns])
+
+
+class PagedSearch(DataSource):
+    """``spark.read.format("paged_search").option("folder", f).option("size", n)``: the items of landed searches, one partition a
+    folder ``part=...``; each is read in pages of ``size`` items until one is short or ``most`` are offset."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "paged_search"
+
+    def schema(self) -> str:
+        return "part string, item string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _SearchReader(self.options)
+
+
+class _SearchReader(DataSourceReader):
+    def __init__(self, options):
+        self.folder, self.size = options["folder"].removeprefix("file:"), int(options.get("size", "100"))
+        self.most = int(options.get("most", str(2**62)))
+
+    def partitions(self):
+        import glob
+
+        return [_Page(p) for p in sorted(glob.glob(f"{self.folder}/part=*"))]
+
+    def read(self, partition):
+        import glob
+        from itertools import islice
+
+        def lines():
+            for path in sorted(glob.glob(f"{partition.url}/*.txt")):
+                with open(path, encoding="utf-8") as f:
+                    yield from (line.rstrip("\n") for line in f)
+
+        landed = lines()
+        part = partition.url.rpartition("=")[2]
+        for item in read_until_short(lambda offset, size: list(islice(landed, size)), self.size, self.most):
+            yield (part, item)
