@@ -221,12 +221,12 @@ def sv_l07_corrected(spark: SparkSession, folder: str) -> DataFrame:
     return fixed.select("id", F.col("label").alias("primary_class"), "parent", "confidence", review.cast("int").alias("review"))
 
 
-@query("SELECT company_id AS id, source, least(sum(w), 3.5) AS points FROM (SELECT company_id, source, CASE WHEN confidence >= 0.8 THEN 2.0 ELSE 1.0 END AS w FROM founder_company_edges WHERE length(trim(coalesce(evidence, ''))) >= 10 AND source IN (SELECT source_name FROM source_registry WHERE trust_rank <= 20)) GROUP BY 1, 2")
+@query("SELECT company_id AS id, source, least(sum(w), 3.5) AS points FROM (SELECT company_id, source, CASE WHEN confidence >= 0.8 THEN 2.0 ELSE 1.0 END AS w FROM founder_company_edges WHERE length(trim(coalesce(evidence, ''))) >= 20 AND source IN ('roster_lookup', 'enriched_description')) GROUP BY 1, 2")
 def sv_l09_augmented(spark: SparkSession, folder: str) -> DataFrame:
     """What a model adds to a rule's result: only categories that it may add, only where the text is long enough, and no more
     than a cap (L09)."""
-    allowed = table(spark, folder, "source_registry").where("trust_rank <= 20").select(F.col("source_name").alias("source")).distinct()
-    e = table(spark, folder, "founder_company_edges").where(F.length(F.trim(F.coalesce("evidence", F.lit("")))) >= 10)
+    allowed = spark.createDataFrame([("roster_lookup",), ("enriched_description",)], "source string")
+    e = table(spark, folder, "founder_company_edges").where(F.length(F.trim(F.coalesce("evidence", F.lit("")))) >= 20)
     return answers.augmented(e.select(F.col("company_id").alias("id"), "source", F.when(F.col("confidence") >= 0.8, 2.0).otherwise(1.0).alias("points")), allowed, ["id", "source"], "source", "points", 3.5)
 
 
