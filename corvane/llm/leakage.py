@@ -118,6 +118,7 @@ class Leaks:
 
     def __init__(self, docs: DataFrame, items: DataFrame, *, window: int = 13, shared_by: float = 0.01, filter_bound: int = 2_000_000):
         scratch = Scratch(docs.sparkSession)
+        self.window = window
         items = items.select("item_id", "text").where(F.col("text").isNotNull())
         n = items.count()
         tokens = items.select("item_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)))).alias("w"))
@@ -136,12 +137,15 @@ class Leaks:
         b = self.items.select("item_id", "template", "slots").distinct()
         return a.join(b, ["template", "slots"]).select("doc_id", "item_id").distinct()
 
-    def reparameterised(self, cover: float = 0.5) -> DataFrame:
+    def reparameterised(self, cover: float = 0.5, least_fixed: int = 4) -> DataFrame:
         """(doc_id, item_id, n_windows, n_slots, n_changed): the document holds, in one alignment, ``cover`` or more of the
-        item's windows by template, with slots renamed one to one and at least one of them changed. The sets gathered
-        are bounded by the item's own length."""
-        sizes = self.items.groupBy("item_id").agg(F.count("*").alias("size"))
-        pairs = self.docs.join(self.items.select("item_id", F.col("position").alias("at"), "template", F.col("slots").alias("own")), "template")
+        item's windows by template, with slots renamed one to one and at least one of them changed. Only windows with
+        ``least_fixed`` words that are no slots count, on both sides: a template of hardly anything but slots says nothing
+        and would be met everywhere. The sets gathered are bounded by the item's own length."""
+        slots = F.when(F.col("slots") == "", 0).otherwise(F.size(F.split("slots", " ")))
+        docs, items = self.docs.where(self.window - slots >= least_fixed), self.items.where(self.window - slots >= least_fixed)
+        sizes = items.groupBy("item_id").agg(F.count("*").alias("size"))
+        pairs = docs.join(items.select("item_id", F.col("position").alias("at"), "template", F.col("slots").alias("own")), "template")
         pairs = pairs.withColumn("shift", F.col("position") - F.col("at"))
         aligned = pairs.groupBy("doc_id", "item_id", "shift").agg(F.count("*").alias("n_windows"), F.collect_set(F.struct("own", "slots")).alias("seen"))
         zipped = F.array_distinct(F.flatten(F.transform("seen", lambda s: F.arrays_zip(F.split(s["own"], " ").alias("x"), F.split(s["slots"], " ").alias("y")))))

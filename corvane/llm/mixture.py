@@ -9,10 +9,12 @@ budget. Equal keys are settled by the document id. There is a range for every 50
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,21 +23,24 @@ from corvane.scratch import Scratch
 
 @lru_cache(maxsize=2)
 def _encoding(path: str, pattern: str):
+    """Encoding of a vocabulary file that was sent with the job."""
     import tiktoken
 
-    with open(path, "rb") as f:
+    with open(SparkFiles.get(path), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     return tiktoken.Encoding("corvane", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
 def count_tokens(docs: DataFrame, text: str, path: str, pattern: str) -> DataFrame:
     """``docs`` without ``text`` and with ``n_tokens``: tokens of the whole text under the vocabulary at
-    ``path`` with its splitting ``pattern``; 0 for NULL."""
+    ``path`` with its splitting ``pattern``; 0 for NULL. The driver sends the file to the executors."""
+    docs.sparkSession.sparkContext.addFile(path)
+    name = os.path.basename(path)
     kept = [f for f in docs.schema.fields if f.name != text]
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], "n_tokens bigint"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = _encoding(path, pattern)
+        enc = _encoding(name, pattern)
         for batch in batches:
             texts = [x if isinstance(x, str) else "" for x in batch[text]]
             yield batch.drop(columns=[text]).assign(n_tokens=[len(enc.encode_ordinary(x)) for x in texts])

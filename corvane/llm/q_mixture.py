@@ -13,12 +13,14 @@ from corvane.plans.common import table
 
 
 def vocabulary() -> tuple[str, str]:
-    """File and splitting pattern of the public byte-level vocabulary; the folder is taken from CORVANE_TOKENIZERS if
-    it is set."""
-    public = importlib.import_module("public_tokenizers")
-    folder = os.environ.get("CORVANE_TOKENIZERS")
+    """File and splitting pattern of a byte-level vocabulary: CORVANE_TOKENIZERS names its folder and
+    CORVANE_TOKENIZER_PATTERN its pattern; what is unset comes from the package of public tokenizers that is installed."""
+    folder, pattern = os.environ.get("CORVANE_TOKENIZERS"), os.environ.get("CORVANE_TOKENIZER_PATTERN")
     name = "byte_bpe_50k.tiktoken"
-    return (os.path.join(folder, name) if folder else public.path(name)), public.PATTERN
+    if folder and pattern:
+        return os.path.join(folder, name), pattern
+    public = importlib.import_module("public_tokenizers")
+    return (os.path.join(folder, name) if folder else public.path(name)), pattern or public.PATTERN
 
 
 def _mix(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:

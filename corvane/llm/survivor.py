@@ -48,7 +48,7 @@ def source_names(c: str) -> Column:
     return F.transform(F.from_json(F.col(c), "array<string>"), lambda x: F.lower(F.trim(x)))
 
 
-def trust_of(df: DataFrame, registry: DataFrame, row_id: str, sources: str, bound: int = 10_000) -> DataFrame:
+def trust_of(df: DataFrame, registry: DataFrame, row_id: str, sources: str, bound: int = 100) -> DataFrame:
     """``df`` with ``trust``: the lowest rank among a row's registered sources, else ``UNRANKED``. A registry of up to
     ``bound`` names is looked up as a literal map; a larger one is joined."""
     ranks = registry.where(F.col("source_name").isNotNull() & F.col("trust_rank").isNotNull()).groupBy(F.lower(F.trim("source_name")).alias("name")).agg(F.min("trust_rank").alias("rank"))
@@ -89,26 +89,41 @@ def survivors(members: DataFrame, row_id: str, order: list[Column], fields: Mapp
     return best.where("__a <> __b").select("group_id", F.explode(pairs).alias("p")).select("group_id", "p.*").where(F.col("from_id").isNotNull())
 
 
-def truth_discovery(claims: DataFrame, *, prior: float = 0.8, rounds: int = 30, tolerance: float = 1e-3, bound: int = 10_000) -> tuple[DataFrame, DataFrame]:
+def truth_discovery(claims: DataFrame, *, prior: float = 0.8, rounds: int = 100, tolerance: float = 1e-3) -> tuple[DataFrame, DataFrame]:
     """Chosen values and source reliabilities from ``claims(group_id, field_name, value, source)``.
 
     Repeated: a value's support is the sum of its sources' log odds of being right, as a share of all support in its
     group and field; a source's reliability is the mean share of what it claims, smoothed towards ``prior``. Ends when no
-    reliability moves by ``tolerance``, or after ``rounds``. Ties go to the smaller value. Returns
+    reliability moves by ``tolerance``; raises if ``rounds`` do not suffice. Ties go to the smaller value. Returns
     (group_id, field_name, value, support, n_values) and (source, reliability). NULL values are no claims, a NULL source
-    is a source of its own, repeated claims count once. Up to ``bound`` sources are broadcast, more are joined by shuffle.
+    is a source of its own, repeated claims count once.
+
+    Claims that say the same in the same way are one: a group and field whose claims come from the same sources, told apart in
+    the same way, has a pattern, and a pattern is voted on once with the number of its cases. Only patterns, sources and
+    counts move in a round; the claims themselves are read at the beginning and at the end.
     """
     scratch = Scratch(claims.sparkSession)
-    said = claims.where(F.col("value").isNotNull()).select("group_id", "field_name", "value", F.coalesce("source", F.lit("")).alias("source")).distinct()
-    said = scratch.keep(said)
-    trust = scratch.keep(said.select("source").distinct().withColumn("reliability", F.lit(prior)))
-    small = trust.count() <= bound
+    said = claims.where(F.col("value").isNotNull()).select("group_id", "field_name", "value", F.coalesce("source", F.lit("")).alias("source"))
+    # sources of a value, in order: their number is bounded by that of the registered sources, as repeated claims count once
+    camps = said.groupBy("group_id", "field_name", "value").agg(F.array_sort(F.collect_set("source")).alias("camp"))
+    camps = scratch.keep(camps.withColumn("camp_id", F.xxhash64("camp")))
+    whole = camps.groupBy("group_id", "field_name").agg(F.count("*").alias("n_values"), F.sum(F.xxhash64("camp_id", F.lit(7)).cast("decimal(38,0)")).alias("mark"))
+    whole = scratch.keep(whole.select("group_id", "field_name", "n_values", F.xxhash64("n_values", "mark").alias("pattern")))
+    placed = camps.select("group_id", "field_name", "value", "camp_id").join(whole.select("group_id", "field_name", "pattern"), ["group_id", "field_name"])
+    placed = scratch.keep(placed)
+    cases = placed.groupBy("pattern", "camp_id").agg(F.count("*").alias("held"))  # values of a camp over all cases of a pattern
+    sizes = whole.groupBy("pattern").agg(F.count("*").alias("cases"))
+    cases = cases.join(sizes, "pattern").select("pattern", "camp_id", F.col("held").cast("double").alias("held"), (F.col("held") / F.col("cases")).alias("each"))
+    cases = scratch.keep(cases)
+    members = scratch.keep(camps.select("camp_id", "camp").distinct().select("camp_id", F.explode("camp").alias("source")))
+    trust = scratch.keep(members.select("source").distinct().withColumn("reliability", F.lit(prior)))
     for _ in range(rounds):
-        shares = _shares(said, F.broadcast(trust) if small else trust)
+        shares = _shares(cases, members, trust)
+        backed = shares.groupBy("camp_id").agg(F.sum(F.col("held") * F.col("support")).alias("support"), F.sum("held").alias("claims"))
         new = scratch.keep(
-            said.join(shares, ["group_id", "field_name", "value"])
+            members.join(backed, "camp_id")
             .groupBy("source")
-            .agg(((F.sum("support") + 4 * prior) / (F.count("*") + 4)).alias("reliability"))
+            .agg(((F.sum("support") + 4 * prior) / (F.sum("claims") + 4)).alias("reliability"))
             .select("source", F.greatest(F.lit(0.05), F.least(F.lit(0.95), "reliability")).alias("reliability"))
         )
         moved = new.join(trust.withColumnRenamed("reliability", "was"), "source").agg(F.max(F.abs(F.col("reliability") - F.col("was"))).alias("m")).first().m
@@ -116,16 +131,19 @@ def truth_discovery(claims: DataFrame, *, prior: float = 0.8, rounds: int = 30,
         trust = new
         if moved is None or moved < tolerance:
             break
-    shares = _shares(said, F.broadcast(trust) if small else trust)
-    best = shares.groupBy("group_id", "field_name").agg(F.max("support").alias("top"), F.count("*").alias("n_values"))
-    chosen = shares.join(best, ["group_id", "field_name"]).where("support >= top - 1e-12").groupBy("group_id", "field_name").agg(F.min("value").alias("value"), F.max("top").alias("support"), F.max("n_values").alias("n_values"))
-    return chosen, trust
+    else:
+        raise RuntimeError(f"reliabilities are not stable after {rounds} rounds")
+    shares = scratch.keep(_shares(cases, members, trust).select("pattern", "camp_id", "support"))
+    voted = placed.join(shares, ["pattern", "camp_id"])
+    chosen = voted.groupBy("group_id", "field_name").agg(F.min(F.struct((-F.round("support", 12)).alias("s"), "value")).alias("m"), F.count("*").alias("n_values"))
+    return chosen.select("group_id", "field_name", F.col("m.value").alias("value"), (-F.col("m.s")).alias("support"), "n_values"), trust
 
 
-def _shares(said: DataFrame, trust: DataFrame) -> DataFrame:
-    """Support of each value as a share of its group and field. Log odds are kept positive: a source worse than chance
+def _shares(cases: DataFrame, members: DataFrame, trust: DataFrame) -> DataFrame:
+    """Support of a value of each camp as a share of its case. Log odds are kept positive: a source worse than chance
     still counts a little for what it says."""
     weight = F.greatest(F.lit(0.05), F.log(F.col("reliability") / (1 - F.col("reliability"))))
-    votes = said.join(trust, "source").groupBy("group_id", "field_name", "value").agg(F.sum(weight).alias("votes"))
-    total = votes.groupBy("group_id", "field_name").agg(F.sum("votes").alias("total"))
-    return votes.join(total, ["group_id", "field_name"]).select("group_id", "field_name", "value", (F.col("votes") / F.col("total")).alias("support"))
+    votes = members.join(trust, "source").groupBy("camp_id").agg(F.sum(weight).alias("votes"))
+    held = cases.join(votes, "camp_id")
+    total = held.groupBy("pattern").agg(F.sum(F.col("votes") * F.col("each")).alias("total"))
+    return held.join(total, "pattern").withColumn("support", F.col("votes") / F.col("total"))

@@ -50,3 +50,27 @@ def test_reparameterised(spark):
     out = Leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).reparameterised()
     got = {(r.doc_id, r.item_id) for r in out.collect()}
     assert {(1, k) for k in range(5)} <= got and not any(d == 2 for d, _ in got) and (3, 0) not in got
+
+
+def test_planted_changes_are_found(spark):
+    """Questions with other names and numbers inside longer texts: nine in ten are found, and no text without one."""
+    import random
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(4))
+    frames = [
+        "a tank of {n} holds {a} litres of brine and drains by {b} litres an hour so how many hours does {m} wait until the tank is empty",
+        "the pump at {n} lifts {a} litres in {b} minutes and the owner {m} asks how long it takes to lift twice as much water to the same height",
+        "when {n} sells {a} panels at a price of {b} and {m} buys half of them what is the sum that is paid in the end by both",
+    ]
+    fill = lambda t: t.format(n=word(), m=word(), a=rng.randrange(100, 999), b=rng.randrange(10, 99))
+    items = [(i, fill(frames[i % 3])) for i in range(60)]
+    docs, want = [], set()
+    for d in range(120):
+        noise = lambda: " ".join(word() for _ in range(30))
+        docs.append((d, f"{noise()}. {fill(frames[d % 3])} {noise()}" if d % 2 else noise()))
+        if d % 2:
+            want.add(d)
+    leaks = Leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    found = {r.doc_id for r in leaks.reparameterised().collect()}
+    assert len(found & want) / len(want) >= 0.9 and found <= want
