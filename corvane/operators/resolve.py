@@ -11,6 +11,10 @@ Names of such a block meet by segment; the pairs that come out are the same.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,54 +36,69 @@ def blocks(name: Column) -> Column:
     return F.array_compact(keys)
 
 
-def _segments(length: Column, apart: float) -> Column:
-    """Into how many segments a text is cut: one more than the edits between it and the longest text that can be similar."""
-    return F.floor(apart * (length + F.floor(length * (1 + apart) / (1 - apart) + 1e-9)) + 1e-9).cast("int") + 1
+def _cuts(length: int, apart: float) -> list[int]:
+    """Where a text of a length is cut: into one segment more than the edits between it and the longest text that can be
+    similar to it."""
+    longest = int(length * (1 + apart) / (1 - apart) + 1e-9)
+    pieces = int(apart * (length + longest) + 1e-9) + 1
+    return [i * length // pieces for i in range(pieces + 1)]
 
 
-def _own_segments(t: Column, k: Column, apart: float) -> Column:
+def own_segments(text: str, apart: float) -> list[str]:
     """Keys of the segments of a text, the shorter of a pair."""
-    n, g = F.length(t), _segments(F.length(t), apart)
-    cut = lambda i: F.floor(i * n / g).cast("int")
-    return F.transform(F.sequence(F.lit(0), g - 1), lambda i: F.xxhash64(k, n, i, F.substr(t, cut(i) + 1, cut(i + 1) - cut(i))))
+    cuts = _cuts(len(text), apart)
+    return [f"{len(text)}|{i}|{text[cuts[i] : cuts[i + 1]]}" for i in range(len(cuts) - 1)]
+
+
+def met_segments(text: str, apart: float) -> set[str]:
+    """Keys of the parts of a text that can be segments of a shorter or equally long one, for every such length: a segment has
+    moved by no more than the letters inserted before it, or deleted."""
+    n, out = len(text), set()
+    for m in range(max(1, math.ceil(n * (1 - apart) / (1 + apart) - 1e-9)), n + 1):
+        edits, cuts = int(apart * (m + n) + 1e-9), _cuts(m, apart)
+        fewer, more = (edits - (n - m)) // 2, (edits + (n - m)) // 2
+        for i in range(len(cuts) - 1):
+            size = cuts[i + 1] - cuts[i]
+            out |= {f"{m}|{i}|{text[at : at + size]}" for at in range(max(cuts[i] - fewer, 0), min(cuts[i] + more, n - size) + 1)}
+    return out
 
 
-def _met_segments(t: Column, k: Column, apart: float) -> Column:
-    """Keys of the parts of a text that can be segments of a shorter or equally long one, for every such length."""
-    n = F.length(t)
+def _keys(rows: DataFrame, segments, apart: float) -> DataFrame:
+    """(g, k, s) of ``rows(g, t, k)``: the keys that ``segments`` gives for the text."""
 
-    def of_length(m: Column) -> Column:
-        g, edits = _segments(m, apart), F.floor(apart * (m + n) + 1e-9).cast("int")
-        fewer, more = F.floor((edits - (n - m)) / 2).cast("int"), F.floor((edits + (n - m)) / 2).cast("int")
-        cut = lambda i: F.floor(i * m / g).cast("int")
-        at = lambda i: F.sequence(F.greatest(cut(i) - fewer, F.lit(0)), F.greatest(F.least(cut(i) + more, n - cut(i + 1) + cut(i)), F.greatest(cut(i) - fewer, F.lit(0))))
-        return F.flatten(F.transform(F.sequence(F.lit(0), g - 1), lambda i: F.transform(at(i), lambda p: F.xxhash64(k, m, i, F.substr(t, p + 1, cut(i + 1) - cut(i))))))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 500):
+                part = batch.iloc[at : at + 500]
+                out = [(g, k, s) for g, t, k in zip(part["g"], part["t"], part["k"]) for s in segments(t, apart)]
+                yield pd.DataFrame(out, columns=["g", "k", "s"])
 
-    least = F.greatest(F.ceil(n * (1 - apart) / (1 + apart) - 1e-9).cast("int"), F.lit(1))
-    return F.array_distinct(F.flatten(F.transform(F.sequence(least, n), of_length)))
+    return rows.mapInPandas(run, f"g {rows.schema['g'].dataType.simpleString()}, k string, s string")
 
 
-def blocked_pairs(groups: DataFrame, name: str, text: str, threshold: float, crowd: int) -> DataFrame:
+def blocked_pairs(groups: DataFrame, name: str, text: str, threshold: float, crowd: int, scratch: Scratch) -> DataFrame:
     """(g, h), g < h, of ``groups(g, name, text)`` that share a block and whose texts may reach the threshold. Blocks of more than
     ``crowd`` names meet by segments of the text."""
     keyed = groups.select("g", F.col(text).alias("t"), F.explode(blocks(F.col(name))).alias("k"))
-    crowded = keyed.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("k")
-    few = keyed.join(crowded, "k", "left_anti").select("g", "k")
+    crowded = scratch.keep(keyed.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("k"))
+    some = not crowded.isEmpty()
+    few = (keyed.join(crowded, "k", "left_anti") if some else keyed).select("g", "k")
     pairs = few.hint("merge").join(few.withColumnRenamed("g", "h"), "k").where("g < h").select("g", "h")
-    many = keyed.join(crowded, "k", "left_semi").where(F.length("t") > 0)
-    own = many.select("g", F.explode(_own_segments(F.col("t"), F.col("k"), 1 - threshold / 100)).alias("s"))
-    met = many.select(F.col("g").alias("h"), F.explode(_met_segments(F.col("t"), F.col("k"), 1 - threshold / 100)).alias("s"))
-    by_segment = own.hint("merge").join(met, "s").where("g <> h").select(F.least("g", "h").alias("g"), F.greatest("g", "h").alias("h"))
+    if not some:
+        return pairs.distinct()
+    many = keyed.join(crowded, "k", "left_semi").where(F.length("t") > 0).select("g", "t", "k")
+    own, met = _keys(many, own_segments, 1 - threshold / 100), _keys(many, met_segments, 1 - threshold / 100).withColumnRenamed("g", "h")
+    by_segment = own.hint("merge").join(met, ["k", "s"]).where("g <> h").select(F.least("g", "h").alias("g"), F.greatest("g", "h").alias("h"))
     return pairs.union(by_segment).distinct()
 
 
-def similar_names(df: DataFrame, name: str, sources: str, row: str, threshold: float, scratch: Scratch, crowd: int = 200) -> DataFrame:
+def similar_names(df: DataFrame, name: str, sources: str, row: str, threshold: float, scratch: Scratch, crowd: int = 1000) -> DataFrame:
     """(a, b) between representatives of equal (name, sources), plus every row with its representative where that one is
     linked: as linked as comparing all rows, without comparing copies."""
     df = df.where(F.coalesce(F.col(name) != "", F.lit(False))).withColumn("__s", F.array_sort(F.array_distinct(F.coalesce(F.col(sources), F.array().cast("array<string>")))))
     groups = df.groupBy(name, "__s").agg(F.min(row).alias("g"), F.count("*").alias("__n"))
     groups = scratch.keep(groups.withColumn("t", sorted_tokens(F.col(name))))
-    pairs = blocked_pairs(groups, name, "t", threshold, crowd)
+    pairs = blocked_pairs(groups, name, "t", threshold, crowd, scratch)
     left = groups.select("g", F.col("t").alias("t1"), F.col("__s").alias("s1"))
     right = groups.select(F.col("g").alias("h"), F.col("t").alias("t2"), F.col("__s").alias("s2"))
     near = pairs.join(left, "g").join(right, "h").where(~F.coalesce(F.arrays_overlap("s1", "s2"), F.lit(False)) & may_reach(F.col("t1"), F.col("t2"), threshold))

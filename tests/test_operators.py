@@ -135,6 +135,7 @@ def test_crowded_blocks_give_the_same_pairs(spark):
 
     from corvane.functions.similarity import _indel, indel_ratio
     from corvane.operators.resolve import blocked_pairs
+    from corvane.scratch import Scratch
 
     rng = random.Random(8)
     names = []
@@ -145,7 +146,7 @@ def test_crowded_blocks_give_the_same_pairs(spark):
             n = rng.choice([n[:i] + rng.choice("abcxyz") + n[i:], n[:i] + n[i + 1 :], n])
             names.append(n)
     groups = spark.createDataFrame([(f"{i:04}", n) for i, n in enumerate(names)], "g string, t string")
-    pairs = blocked_pairs(groups, "t", "t", 88.0, 10)
+    pairs = blocked_pairs(groups, "t", "t", 88.0, 10, Scratch(spark))
     both = pairs.join(groups, "g").join(groups.toDF("h", "u"), "h").where(indel_ratio("t", "u") >= 88)
     want = {(f"{i:04}", f"{j:04}") for i in range(len(names)) for j in range(i + 1, len(names)) if _indel(names[i], names[j]) >= 88}
     assert len(want) > 60 and {(r.g, r.h) for r in both.collect()} == want
