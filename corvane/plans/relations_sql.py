@@ -87,10 +87,13 @@ def sv_a09_fill_summary(spark: SparkSession, folder: str) -> DataFrame:
 @query("WITH d AS (SELECT c.id, r.description, r.id AS rid FROM companies c JOIN raw_records r ON lower(trim(r.company_id)) = c.id UNION SELECT c.id, r.description, r.id FROM companies c JOIN raw_records r ON lower(trim(r.name_raw)) = lower(trim(c.name))) SELECT id, description FROM d WHERE description <> '' QUALIFY row_number() OVER (PARTITION BY id ORDER BY length(description) DESC, rid) = 1")
 def sv_j05_longest_text(spark: SparkSession, folder: str) -> DataFrame:
     """The longest description of a company, by identifier or by name: two equi-joins, no OR."""
-    raw = table(spark, folder, "raw_records").where("description <> ''").select(F.col("id").alias("raw_rid"), "description", _names("company_id").alias("cid"), _names("name_raw").alias("nm"))
+    raw = table(spark, folder, "raw_records").where("description <> ''").select(F.col("id").alias("rid"), "description", _names("company_id").alias("cid"), _names("name_raw").alias("nm"))
+    order = [-F.length("description"), F.col("rid")]
+    # one row an identifier and one a name, before anything is joined
+    by_id, by_name = [lookup.best(raw, {"k": F.col(c)}, order, ["rid", "description"]) for c in ("cid", "nm")]
     left = table(spark, folder, "companies").select("id", _names("name").alias("key_name"))
-    both = lookup.either_key(left, raw, [("id", "cid"), ("key_name", "nm")], "id")
-    return lookup.best(both, {"k": F.col("id")}, [-F.length("description"), F.col("raw_rid")], ["description"]).withColumnRenamed("k", "id")
+    both = left.join(by_id, F.col("id") == F.col("k")).select("id", "rid", "description").unionByName(left.join(by_name, F.col("key_name") == F.col("k")).select("id", "rid", "description"))
+    return lookup.best(both, {"k": F.col("id")}, order, ["description"]).withColumnRenamed("k", "id")
 
 
 @query("SELECT c.id, r.website AS fallback FROM companies c LEFT JOIN (SELECT name_raw, website FROM raw_records WHERE website IS NOT NULL QUALIFY row_number() OVER (PARTITION BY name_raw ORDER BY id) = 1) r ON r.name_raw = c.name")

@@ -14,6 +14,7 @@ from corvane.functions import text as tx
 from corvane.model_calls.map import call_model
 from corvane.model_calls.provider import KeywordProvider
 from corvane.plans.common import table
+from corvane.scratch import scratch_dir
 from corvane.sources import feeds, layouts
 from corvane.sources.html import Layout, page_text, scan_pages
 from corvane.streaming.ingest import windowed_counts
@@ -176,16 +177,13 @@ def sv_s18_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return feeds.text_blocks(table(spark, folder, "companies").select(text.alias("t")), "t", ["Roster"], "Fellow").drop("seq")
 
 
-@query(f"SELECT id, {_N} || ' ' || {_X} AS text FROM companies")
+@query(f"SELECT id, trim({_N} || ' ' || {_X}) AS text FROM companies")
 def sv_f27_page_text(spark: SparkSession, folder: str) -> DataFrame:
     """Text of a page without scripts and navigation."""
     df = page_text(_pages(spark, folder, "<html><head><title>t</title></head><nav>n</nav><p>{name}</p><script>s()</script><p>{sub_sector}</p></html>"), "id")
     return df
 
 
-SQL["sv_f27_page_text"] = f"SELECT id, trim({_N} || ' ' || {_X}) AS text FROM companies"
-
-
 @query("SELECT id, CASE WHEN length(trim(coalesce(trim(summary), ''))) < 20 THEN 'short' ELSE 'ok' END AS status FROM companies")
 def sv_l01_model_calls(spark: SparkSession, folder: str) -> DataFrame:
     """A model over all summaries, with the offline provider; short texts are not sent."""
@@ -194,15 +192,14 @@ def sv_l01_model_calls(spark: SparkSession, folder: str) -> DataFrame:
     return log.select("id", "status")
 
 
-@query()
+@query("SELECT strftime(time_bucket(INTERVAL 10 MINUTES, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def sv_x_stream_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Events in ten-minute windows as a stream that ends with what is there."""
-    name = f"s{uuid.uuid4().hex}"
+    place = f"{scratch_dir(spark)}/counts-{uuid.uuid4().hex}"
     schema = table(spark, folder, "events").schema
     stream = spark.readStream.schema(schema).parquet(f"{folder}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
     counts = windowed_counts(stream, "ts", "1 hour", "10 minutes", None, ["event_type"])
-    counts.writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name).select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n")
-
-
-SQL["sv_x_stream_counts"] = "SELECT strftime(time_bucket(INTERVAL 10 MINUTES, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2"
+    counts = counts.select("window_start", "event_type", "n")
+    write = lambda batch, _: batch.write.mode("overwrite").parquet(place)  # noqa: E731  the whole result so far; a batch that is run again writes the same
+    counts.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{place}-state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(place).select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n")

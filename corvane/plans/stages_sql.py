@@ -207,7 +207,7 @@ def sv_k14_structured(spark: SparkSession, folder: str) -> DataFrame:
     return store.structured(e, "k", "founder_name", ["company_id"]).select("k", "canonical_name", F.size("members").cast("long").alias("n"))
 
 
-@query("SELECT id, name FROM companies")
+@query("SELECT id, trim(name) AS name FROM companies")
 def sv_k16_export(spark: SparkSession, folder: str) -> DataFrame:
     """CSV export with a header, read again."""
     path = _place(spark)
@@ -216,9 +216,6 @@ def sv_k16_export(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path).select("id", "name")
 
 
-SQL["sv_k16_export"] = "SELECT id, trim(name) AS name FROM companies"
-
-
 @query("WITH e AS (SELECT DISTINCT company_id, lower(trim(founder_name)) AS f FROM founder_company_edges WHERE founder_name IS NOT NULL), c AS (SELECT id, coalesce(CAST(try_cast(founder_names AS JSON) AS VARCHAR[]), []) AS named FROM companies) SELECT id, array_to_string(list_concat(list_reverse(list_sort(coalesce(list(f) FILTER (NOT list_contains([lower(x) FOR x IN named], f)), []))), named), '|') AS founders FROM c JOIN e ON e.company_id = c.id GROUP BY id, named")
 def sv_l10_add_known(spark: SparkSession, folder: str) -> DataFrame:
     """Known founders that a text does not name, in reverse before those it names."""

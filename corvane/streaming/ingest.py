@@ -34,7 +34,7 @@ def sessions(stream: DataFrame, time: str, delay: str, gap: str, key: str) -> Da
 
 def upsert_into(stream: DataFrame, target: str, keys: list[str], checkpoint: str) -> None:
     """Insert the rows of new keys into a parquet snapshot, batch by batch, then stop. Each batch writes the next snapshot
-    ``target/batch=N`` beside the last, so a batch that is run again gives the same snapshot."""
+    ``target/batch=N`` beside the last, so a batch that is run again gives the same snapshot; older ones are deleted."""
     spark = stream.sparkSession
 
     def step(batch: DataFrame, n: int) -> None:
@@ -44,5 +44,7 @@ def upsert_into(stream: DataFrame, target: str, keys: list[str], checkpoint: str
         else:
             existing = spark.read.schema(batch.schema).parquet(path(n - 1))
         insert_or_ignore(existing, batch, keys).write.mode("overwrite").parquet(path(n))
+        old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path(n - 2))
+        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
 
     stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
