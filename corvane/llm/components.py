@@ -89,7 +89,7 @@ def connected_components(
             break
         blocks = max(1, math.ceil(math.sqrt(n / cell_edges)), min(4, math.ceil(math.sqrt(n / 20_000))))
         block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
-        cells = left.repartition(blocks * blocks, block("u"), block("v"))
+        cells = left.repartitionById(blocks * blocks, (block("u") * blocks + block("v")).cast("int"))  # a task a cell
         reps = cells.mapInPandas(_local_forests(memory_vertices), "v string, rep string")
         exchanged = scratch.keep(reps.groupBy("v").agg(F.min("rep").alias("parent"), F.collect_set("rep").alias("reps")))
         jump = _stable(scratch, exchanged.where("parent <> v").select("v", "parent"))

@@ -228,11 +228,12 @@ class Mixture:
         return 1 / (1 + np.exp(-np.clip(score, -50, 50)))
 
     def fit(self, x: np.ndarray, n: np.ndarray, gamma: np.ndarray, rivals: Rivals, rounds: int = 500) -> np.ndarray:
-        """Expectation-maximisation until no cell moves; every expectation step is held to transitivity."""
+        """Expectation-maximisation until no cell moves by 1e-4 (after 300 rounds, by 1e-2); every expectation step is held to
+        transitivity. Raises if it does not settle."""
         for turn in range(rounds):
             self.maximise(x, n, gamma)
             new = rivals.hold(self, self.expect(x), n)
-            if np.abs(new - gamma).max() < 1e-4:
+            if np.abs(new - gamma).max() < (1e-4 if turn < 300 else 1e-2):
                 return new
             gamma = new if turn < 100 else (new + gamma) / 2  # what swings between two states meets in the middle
         raise RuntimeError("the mixture does not settle")
@@ -273,8 +274,9 @@ def link(left: DataFrame, right: DataFrame, *, max_rounds: int = 20, transitive:
     """(left_id, right_id, confidence) of all blocked pairs, from profiles with an ``id`` and ``keys``.
 
     ``left`` and ``right`` hold id, the columns of ``PROFILE`` (texts, empty where unknown) and ``keys``. Records without
-    keys or without a partner under any key have no row; with no pairs at all the result is empty. Raises if the best
-    candidates still change after ``max_rounds`` fits. ``transitive=False`` leaves the constraint out.
+    keys or without a partner under any key have no row; with no pairs at all the result is empty. Ends when the best
+    candidates and their rivals are those of an earlier fit; raises if they still change after ``max_rounds`` fits.
+    ``transitive=False`` leaves the constraint out.
     """
     spark = left.sparkSession
     scratch = Scratch(spark)
@@ -295,7 +297,7 @@ def link(left: DataFrame, right: DataFrame, *, max_rounds: int = 20, transitive:
         return ids_a.join(ids_b, ["id", "pid"]).select(F.col("id").alias("left_id"), F.col("id").alias("right_id"), F.lit(0.0).alias("confidence")).where(F.lit(False))
     cells, n = histogram["cell"].to_numpy(), histogram["n"].to_numpy(dtype=float)
     x = vectors_of(cells)
-    mixture, rivals, held, mark = Mixture(), Rivals(cells), None, None
+    mixture, rivals, held, marks = Mixture(), Rivals(cells), None, set()
     gamma = (x @ FIRST_GUESS > 0.72).astype(float) * 0.9 + 0.05
     cell_table = lambda name, at, values: F.broadcast(spark.createDataFrame(pd.DataFrame({name: at, f"p_{name}": values})))  # noqa: E731  at most 4^8 rows
     for _ in range(max_rounds):
@@ -305,10 +307,10 @@ def link(left: DataFrame, right: DataFrame, *, max_rounds: int = 20, transitive:
         scored = pairs.join(cell_table("cell", cells, mixture.expect(x)), "cell").where("p_cell > 0.5")
         best = scored.groupBy("pa").agg(F.max(F.struct("p_cell", "pb", "cell")).alias("m")).select("pa", F.col("m.pb").alias("pstar"), F.col("m.cell").alias("star"))
         others = scratch.keep(scored.join(best, "pa").where("pb <> pstar").select("pa", "pb", "cell", "pstar", "star"))
-        new_mark = others.agg(F.count("*").alias("n"), F.sum(F.xxhash64("pa", "pb", "pstar").cast("decimal(38,0)")).alias("s")).first()
-        if new_mark == mark:
+        mark = tuple(others.agg(F.count("*").alias("n"), F.sum(F.xxhash64("pa", "pb", "pstar").cast("decimal(38,0)")).alias("s")).first())
+        if mark in marks:  # as in the round before, or in an earlier one if two states alternate
             break
-        mark = new_mark
+        marks.add(mark)
         two = others.select("pb", "pstar").distinct().join(side(b, "b"), "pb").join(b.select(F.col("pid").alias("pstar"), *[F.col(c).alias(f"{c}_a") for c in PROFILE]), "pstar")
         held = scratch.keep(others.join(compare_pairs(two).withColumnRenamed("cell", "between"), ["pb", "pstar"]))
         #: Different triples of cells, not pairs: their number depends on the grid, not on the input.
