@@ -138,7 +138,7 @@ _project("sv_f27_strip_tags", "documents", "doc_id", lambda: {"v": F.md5(tx.stri
 _project("sv_f28_shorten", "raw_records", "id", lambda: {"v": tx.shorten("description", 60)}, {"v": "CASE WHEN length(description) > 60 THEN regexp_replace(substr(description, 1, 60), ' [^ ]*$', '') || '…' ELSE description END"})
 _ZIP, _ZIP_SQL = lambda: F.concat(F.lit("Suite 9, Houston TX "), F.lpad((F.col("id") % 100000).cast("string"), 5, "0")), "('Suite 9, Houston TX ' || lpad(CAST(id % 100000 AS VARCHAR), 5, '0'))"
 _project("sv_f29_zip", "raw_records", "id", lambda: {"v": tx.zip_in(_ZIP())}, {"v": rf"nullif(regexp_extract({_ZIP_SQL}, '\b([0-9]{{5}})\b', 1), '')"})
-_BOTH = lambda: F.coalesce(tx.json_or_text("source_ids", "array<string>"))
+_BOTH = lambda: tx.json_or_text("source_ids", "array<string>")
 _project("sv_f30_json", "companies", "id", lambda: {"v": F.array_join(_BOTH()["value"], "; "), "t": _BOTH()["text"]}, {
     "v": "array_to_string(CAST(try_cast(nullif(source_ids, '') AS JSON) AS VARCHAR[]), '; ')", "t": "CASE WHEN NOT json_valid(nullif(source_ids, '')) THEN source_ids END"})
 _project("sv_f31_location", "raw_records", "id", lambda: {"v": F.coalesce(F.get_json_object("extra", "$.contact"), "location_raw")}, {"v": "coalesce(json_extract_string(extra, '$.contact'), location_raw)"})

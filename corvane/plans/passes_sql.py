@@ -23,7 +23,7 @@ from corvane.plans.scans_sql import _N, _X, _pages, _safe
 from corvane.scratch import Scratch, scratch_dir
 from corvane.sources import feeds, layouts
 from corvane.sources.html import scan_pages
-from corvane.sources.paged import PagedSearch, with_fallback
+from corvane.sources.paged import PagedSearch, first_platform, with_fallback
 from corvane.streaming.ingest import first_within
 
 QUERIES: dict = {}
@@ -53,13 +53,13 @@ _SCORE_SQL = "CASE WHEN venture_scale_score BETWEEN 0 AND 10 AND NOT isnan(ventu
 
 @query("SELECT id, name, slug, page FROM (SELECT id, name, 'p' || CASE WHEN sub_sector IS NULL THEN 'x' ELSE sub_sector END AS page, id AS slug FROM companies) WHERE name IS NOT NULL")
 def sv_s01_two_passes(spark: SparkSession, folder: str) -> DataFrame:
-    """A listing, then the profile of each entry; an entry whose profile cannot be read stays as a listing-only record (S01,
-    S01d), and the listing of the next year is read if it is there."""
+    """The listings of two years, then the profile of each entry: an entry whose profile cannot be read stays as a listing-only
+    record (S01, S01d); an entry of both years is the one of the first, and a year without a listing gives none."""
     c = table(spark, folder, "companies").where("name is not null")
-    listing = c.select("id", "name", F.col("id").alias("slug"))
+    years = [c.where("is_duplicate = 0 or is_duplicate is null"), c, c.where(F.lit(False))]
+    listing = first_platform([y.select("id", "name", F.col("id").alias("slug")) for y in years], "id").drop("platform_rank")
     profiles = c.where("sub_sector is not null").select("id", F.concat(F.lit("p"), "sub_sector").alias("page"))
-    nothing = listing.where(F.lit(False))
-    return with_fallback(lookup.attach(listing.unionByName(nothing), profiles, ["id"]), {"page": F.lit("px")}).select("id", "name", "slug", "page")
+    return with_fallback(lookup.attach(listing, profiles, ["id"]), {"page": F.lit("px")}).select("id", "name", "slug", "page")
 
 
 _CUT_SQL = rf"regexp_replace({_slug_sql('name')}, '[-_]?(logo|icon|img|image|thumbnail|photo|full|white|dark|color|bw|black|new|v[0-9]+).*$', '')"
