@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvane.scratch import Scratch
+
 
 def first_per_key(df: DataFrame, key: Column, order: list[Column]) -> DataFrame:
     """The first row of each key; rows with a NULL key all stay. An aggregation over whole rows, no window."""
@@ -26,12 +28,22 @@ def top_k_per_key(df: DataFrame, key: str, order: list[Column], k: int) -> DataF
 
 
 def cut_at_rate(df: DataFrame, group: str, order: Column, failed: Column, rate: float, least: int) -> DataFrame:
-    """Attempts up to the first failed one at which failures are ``rate`` of ``least`` or more attempts of the group."""
-    w = Window.partitionBy(group).orderBy(order)
-    run = df.withColumn("__n", F.row_number().over(w)).withColumn("__f", F.sum(failed.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    run = run.withColumn("__x", failed & (F.col("__n") >= least) & (F.col("__f") >= rate * F.col("__n")))
-    stop = F.min(F.when(F.col("__x"), F.col("__n"))).over(Window.partitionBy(group))
-    return run.withColumn("__s", stop).where(F.col("__s").isNull() | (F.col("__n") <= F.col("__s"))).drop("__n", "__f", "__x", "__s")
+    """Attempts up to the first failed one at which failures are ``rate`` of ``least`` or more attempts of the group. Attempts are
+    counted by ranges of the order and then inside a range, so that no task holds a group; a NULL group is one."""
+    scratch = Scratch(df.sparkSession)
+    ranged = df.withColumn("__o", order).withColumn("__x", F.coalesce(failed, F.lit(False)).cast("int")).repartitionByRange(group, "__o")
+    placed = scratch.keep(ranged.withColumn("__part", F.spark_partition_id()))
+    before = Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy(group, "__part").agg(F.count("*").alias("__rows"), F.sum("__x").alias("__bad"))
+    parts = parts.select(F.col(group).alias("__g"), F.col("__part").alias("__p"), F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__n0"), F.coalesce(F.sum("__bad").over(before), F.lit(0)).alias("__f0"))
+    inside = Window.partitionBy(group, "__part").orderBy("__o")
+    run = placed.withColumn("__n1", F.row_number().over(inside)).withColumn("__f1", F.sum("__x").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    run = run.join(parts, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__part") == F.col("__p")))
+    run = run.withColumn("__n", F.col("__n0") + F.col("__n1")).withColumn("__f", F.col("__f0") + F.col("__f1")).select(*df.columns, "__x", "__n", "__f")
+    run = scratch.keep(run)
+    stop = run.where((F.col("__x") == 1) & (F.col("__n") >= least) & (F.col("__f") >= rate * F.col("__n"))).groupBy(F.col(group).alias("__g")).agg(F.min("__n").alias("__s"))
+    kept = run.join(stop, F.col(group).eqNullSafe(F.col("__g")), "left").where(F.col("__s").isNull() | (F.col("__n") <= F.col("__s")))
+    return kept.select(*df.columns)
 
 
 def within_budget(df: DataFrame, order: list[Column], budget: int) -> DataFrame:
