@@ -143,11 +143,11 @@ def sv_s19_json_dimension(spark: SparkSession, folder: str) -> DataFrame:
 @query("SELECT n_nationkey AS id, n_name AS name FROM nation WHERE n_regionkey = 1")
 def sv_s21_database(spark: SparkSession, folder: str) -> DataFrame:
     """A table of a database, read by predicates over a key, each a partition; filters and columns go to the database."""
-    from corvane.sources.database import read_table, write_table
+    from corvane.sources.database import read_sqlite, write_sqlite
 
-    url = f"jdbc:derby:memory:corvane{uuid.uuid4().hex};create=true"
-    write_table(table(spark, folder, "nation").select(F.col("n_nationkey").cast("int").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").cast("int").alias("region")), url, "places")
-    return read_table(spark, url, "places", "id", 0, 32, 4).where("region = 1").select(F.col("id").cast("long").alias("id"), "name")
+    place = f"{Scratch(spark).root}/places.db"
+    write_sqlite(table(spark, folder, "nation").select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").cast("long").alias("region")), place, "places", "id")
+    return read_sqlite(spark, place, "places", "id long, name string, region long", "id", 4).where("region = 1").select("id", "name")
 
 
 @query("SELECT load_no, source, count(*) AS n_runs, count(*) FILTER (success = 1) AS n_good, CAST(sum(CASE WHEN success = 1 THEN coalesce(records_harvested, 0) ELSE 0 END) AS BIGINT) AS records FROM harvest_runs GROUP BY 1, 2")

@@ -1,12 +1,21 @@
 """Readers: pages, feeds, worksheets, services."""
 
 import io
+import os
+import sqlite3
+import subprocess
+import sys
 import zipfile
+from pathlib import Path
 
+import pyspark
 import pytest
+from oracle import connect
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import GreaterThan, In, IsNull, Not
 
 from corvane.sources import feeds, layouts
+from corvane.sources.database import SqliteTable, read_sqlite, read_table, write_sqlite, write_table
 from corvane.sources.html import parse, scan_pages
 from corvane.sources.paged import LandedPages, RateLimiter, candidate_pages, first_platform, lookup_first, read_until_short
 
@@ -105,3 +114,83 @@ def test_winner_cards(spark):
     html = "<div class='c--mosaic-card'><div class='text-container'><h4>2013 finals</h4><p><strong>Acme</strong> - made it</p><p>First</p></div></div>"
     r = scan_pages(spark.createDataFrame([(1, html)], "page_id int, html string"), layouts.WINNERS).select("name", "placement", F.col("year")).first()
     assert tuple(r) == ("Acme", "First", "2013 finals")
+
+
+ON_A_CLUSTER = """
+from pyspark.sql import SparkSession
+import __spark_entry__
+conf = {"spark.master": "local-cluster[2,1,1024]", "spark.executor.memory": "600m", "spark.checkpoint.dir": "FOLDER/shared", "spark.driver.host": "127.0.0.1", "spark.ui.enabled": "false"}
+spark = SparkSession.builder.config(map=conf).getOrCreate()
+try:
+    print("ROWS", sorted(tuple(r) for r in __spark_entry__.queries()["sv_s21_database"](spark, "DATA").collect()))
+finally:
+    spark.stop()
+"""
+
+
+def test_database_on_a_cluster(data, tmp_path):
+    """Executors are processes of their own: what is in the memory of one is not in that of another."""
+    import __spark_entry__
+
+    home = tmp_path / "home"  # where the executors write their logs
+    home.mkdir()
+    for p in Path(pyspark.__file__).parent.iterdir():
+        if p.name != "work":
+            (home / p.name).symlink_to(p)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_", "SPARK_"))} | {"SPARK_HOME": str(home), "SPARK_SCALA_VERSION": "2.13", "SPARK_LOCAL_IP": "127.0.0.1", "PYTHONPATH": root, "PYSPARK_PYTHON": sys.executable}
+    script = ON_A_CLUSTER.replace("FOLDER", str(tmp_path)).replace("DATA", data)
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    want = sorted(connect(data).execute(__spark_entry__.oracle_sql()["sv_s21_database"]).fetchall())
+    assert out.stdout.rpartition("ROWS ")[2].strip() == str(want), out.stderr[-3000:]
+
+
+def test_database_server(spark):
+    url = "jdbc:derby:memory:sources;create=true"  # in a local session the one JVM is the server
+    write_table(spark.range(-5, 40).select(F.col("id").cast("int"), (F.col("id") % 3).cast("int").alias("n")), url, "t")
+    assert sorted(r.id for r in read_table(spark, url, "t", "id", 0, 32, 4).where("n = 1").collect()) == [i for i in range(-5, 40) if i > 0 and i % 3 == 1]
+
+
+ROWS = [(-(2**63), "a", 1.5, True, b"\0"), (2**63 - 1, "", -0.5, False, b""), (7, "Ω `x` \"y\"", None, None, None), (7, None, 1e300, True, b"z"), (None, "no key", 0.0, None, None), (8, "a\0b", float("inf"), False, b"w")]
+
+
+@pytest.mark.parametrize("parts", [1, 9])
+def test_sqlite_rows(spark, tmp_path, parts):
+    schema = "`the key` long, `na``me` string, x double, b boolean, c binary"
+    path = f"file:{tmp_path}/new/a b%20?.db"
+    write_sqlite(spark.createDataFrame(ROWS, schema), path, "t`t", "the key")
+    got = read_sqlite(spark, path, "t`t", schema, "the key", parts)
+    for where in ("true", "`the key` = 7", "`the key` is null", "`the key` <=> 8", "b", "not b", "x > 0", "x <= 0.0", "`na``me` in ('', 'a')", "`na``me` is not null and x is null", "`na``me` like 'a%'", "not (`the key` = 7)"):
+        assert sorted(map(repr, got.where(where).collect())) == sorted(map(repr, spark.createDataFrame(ROWS, schema).where(where).collect())), where
+    assert got.rdd.getNumPartitions() == parts
+    assert os.listdir(tmp_path / "new") == ["a b%20?.db"]
+
+
+def test_sqlite_filters_are_asked_of_the_database(spark, tmp_path):
+    with sqlite3.connect(tmp_path / "t.db") as db:
+        db.execute("CREATE TABLE t (id INTEGER, v)")
+        db.executemany("INSERT INTO t VALUES (?, ?)", [(1, "no number"), (2, 20), (3, 30), (None, 40)])
+    t = read_sqlite(spark, str(tmp_path / "t.db"), "t", "id long, v long", "id", 2)
+    assert sorted(r.v for r in t.where("id >= 2").collect()) == [20, 30]  # the row that is no number is not read
+    many = In(("id",), tuple(range(40_000)))  # more values than a statement takes
+    reader = SqliteTable({"path": "t.db", "table": "t", "key": "id"}).reader(t.schema)
+    assert list(reader.pushFilters([many, GreaterThan(("id",), 1), Not(IsNull(("v",)))])) == [many, Not(IsNull(("v",)))] and reader.values == [1]
+    with pytest.raises(Exception, match="no such column"):
+        read_sqlite(spark, str(tmp_path / "t.db"), "t", "id long, w long", "id", 2).collect()
+
+
+def test_sqlite_is_whole_or_refused(spark, tmp_path):
+    path = f"{tmp_path}/t.db"
+    for empty in (spark.createDataFrame([], "id long, s string"), spark.range(5).select("id", F.lit("x").alias("s")).where("id > 9")):
+        write_sqlite(empty, path, "t", "id")
+        assert read_sqlite(spark, path, "t", "id long, s string", "id", 4).count() == 0
+    write_sqlite(spark.range(50_000).select("id", F.lit("x").alias("s")), path, "t", "id")
+    with pytest.raises(Exception, match="NaN"):
+        write_sqlite(spark.createDataFrame([(1, float("nan"))], "id long, x double"), path, "t", "id")
+    with pytest.raises(ValueError, match="d date"):
+        write_sqlite(spark.sql("select 1 as id, current_date() as d"), path, "t", "id")
+    with pytest.raises(ValueError, match="mounted"):
+        write_sqlite(spark.range(1), "hdfs://host/t.db", "t", "id")
+    found = read_sqlite(spark, path, "t", "id long", "id", 3)
+    assert found.agg(F.count("*"), F.countDistinct("id"), F.sum("id")).first() == (50_000, 50_000, 50_000 * 49_999 // 2)
+    assert os.listdir(tmp_path) == ["t.db"]
